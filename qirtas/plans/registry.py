@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from qirtas.plans import graph_queries, layer_queries, orphans, text_queries
+from qirtas.plans.register import Query
 
-from pyspark.sql import DataFrame, SparkSession
-
-from qirtas.plans import orphans
-
-Query = Callable[[SparkSession, str], DataFrame]
+_PARTS = text_queries.register, graph_queries.register, layer_queries.register
 
 
 def queries() -> dict[str, Query]:
-    return {"p4_found": orphans.found, "p4_monthly": orphans.monthly}
+    out: dict[str, Query] = {"p4_found": orphans.found, "p4_monthly": orphans.monthly}
+    for part in _PARTS:
+        out |= part.queries
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p4_found": orphans.FOUND_ORACLE, "p4_monthly": orphans.MONTHLY_ORACLE}
+    out = {"p4_found": orphans.FOUND_ORACLE, "p4_monthly": orphans.MONTHLY_ORACLE}
+    for part in _PARTS:
+        out |= part.sql
+    return out
