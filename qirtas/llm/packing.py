@@ -46,31 +46,38 @@ def sweep(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[Plan, int]:
         firsts: list[int] = []
         filled: list[int] = []
 
-        def place(first: int, n: int, gap: int) -> None:
+        def place(first: int, n: int, gap: int, each: int) -> None:
+            """``each`` documents of this size into each of ``n`` containers with this gap."""
             nonlocal left, rank
-            ranks.append(rank)
-            firsts.append(first)
-            filled.append(capacity - gap)
-            rank += n
-            left -= n
-            if gap > size:
-                add(gap - size, (first, n))
+            for k in range(each):
+                ranks.append(rank)
+                firsts.append(first)
+                filled.append(capacity - gap + k * size)
+                rank += n
+            left -= n * each
+            if gap > each * size:
+                add(gap - each * size, (first, n))
 
         while left:
             at = bisect_left(order, size)
             if at == len(order):
-                n = -(-left // (capacity // size))
+                gap, n = capacity, -(-left // (capacity // size))
                 first, opened = opened, opened + n
-                place(first, n, capacity)
-                continue
-            gap = order[at]
-            first, n = free[gap].popleft()
-            if n > left:
-                free[gap].appendleft((first + left, n - left))
-                n = left
-            elif not free[gap]:
-                order.pop(at)
-            place(first, n, gap)
+            else:
+                gap = order[at]
+                first, n = free[gap].popleft()
+                if not free[gap]:
+                    order.pop(at)
+            # the smallest gap stays the smallest while it holds another document of this size
+            each = gap // size
+            full = min(n, left // each)
+            if full:
+                place(first, full, gap, each)
+            if full < n and left:
+                place(first + full, 1, gap, left)
+                full += 1
+            if full < n:
+                add(gap, (first + full, n - full))
         plan[size] = ranks, firsts, filled
     return plan, opened
 
