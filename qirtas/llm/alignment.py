@@ -243,7 +243,7 @@ def align(rows: DataFrame, concepts: int = CONCEPTS, block: int = BLOCK, merged:
     of = F.xxhash64("rec_table", "rec_key")
     placed = rows.select(F.pmod(of, F.lit(blocks)).cast("int").alias("block"), F.pmod(F.shiftright(of, 20), F.lit(concepts)).cast("int").alias("concept"), "rec_table", "rec_key", "lang_pair", "arabic", "other")
     placed = placed.dropDuplicates(["rec_table", "rec_key", "lang_pair"])
-    table = write_shared(placed.repartition("block").sortWithinPartitions("block", "rec_key"), "pairs")
+    table = write_shared(placed.repartition(2 * blocks, "block").sortWithinPartitions("block", "rec_key"), "pairs")
     sizes = {(r[0], r[1]): r[2] for r in table.groupBy("lang_pair", "concept").count().collect()}  # language pairs x concepts
     words = _represented(_occurrences(table), sizes, concepts)
     names = ["rec_table", "rec_key", "lang_pair", "ar_sent", "tr_sent", "score"]
@@ -251,5 +251,6 @@ def align(rows: DataFrame, concepts: int = CONCEPTS, block: int = BLOCK, merged:
     def run(texts: pa.Table, vocabulary: pa.Table) -> pa.Table:
         return _align_block(texts, vocabulary, concepts, merged, least)
 
-    both = table.groupBy("block").cogroup(words.groupBy("block"))
+    # one partition for about every block, whatever the session's number of shuffle partitions
+    both = table.repartition(2 * blocks, "block").groupBy("block").cogroup(words.repartition(2 * blocks, "block").groupBy("block"))
     return both.applyInArrow(run, "rec_table string, rec_key string, lang_pair string, ar_sent int, tr_sent int, score double").select(*names)
