@@ -18,6 +18,13 @@ from pyspark.sql import functions as F
 from qirtas.operators.skew import HEAVY, salted_join
 
 
+def dated_by_child(rows: DataFrame, key: str, *columns: str, loaded: str = "loaded_at", heavy: int = HEAVY) -> DataFrame:
+    """Distinct (key, columns...) with the earliest ``loaded`` of the key in all its rows. Null keys are left out."""
+    rows = rows.where(F.col(key).isNotNull())
+    earliest = rows.groupBy(key).agg(F.min(loaded).alias(loaded), F.count(F.lit(1)).alias("_n"))
+    return salted_join(rows.select(key, *columns).distinct(), earliest, [key], "_n", columns[0], "inner", heavy)
+
+
 def references(rows: DataFrame, field: str, kind, child: str, target, loaded: str = "loaded_at") -> DataFrame:
     """Distinct (ref_field, child_key, target_kind, target_key, child_at) of one referring field.
 

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from qirtas.operators.references import orphans, per_period, references, targets
+from qirtas.operators.references import dated_by_child, orphans, per_period, references, targets
 
 
 def _word_references(words: DataFrame) -> DataFrame:
-    """References of word_occurrence. A location delivered again is one child, dated by its earliest delivery whatever it refers to."""
+    """References of word_occurrence. A location delivered again is one child, dated by its earliest delivery whatever it refers to.
+
+    After the first aggregation a location has at most one row a lemma and source, so the window's groups are bounded by the lemma table.
+    """
     each = words.where("location is not null").groupBy("location", "source", "top_lemma_id").agg(F.min("loaded_at").alias("loaded_at"))
     each = each.withColumn("loaded_at", F.min("loaded_at").over(Window.partitionBy("location")))
     last = F.length(F.substring_index("location", ":", -1))
@@ -22,16 +25,12 @@ def _word_references(words: DataFrame) -> DataFrame:
     return rows.groupBy("ref_field", "child_key", "target_kind", "target_key").agg(F.min("child_at").alias("child_at"))
 
 
-def _dated_by_child(rows: DataFrame, key: str) -> DataFrame:
-    return rows.withColumn("loaded_at", F.min("loaded_at").over(Window.partitionBy(key)))
-
-
 def all_references(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    tafsir, related = read("tafsir"), _dated_by_child(read("related_hadith"), "link_id")
+    tafsir, related = read("tafsir"), dated_by_child(read("related_hadith"), "link_id", "tafsir_id", "hadith_id")
     entries = F.filter(F.transform(F.split("ayah_keys", ","), lambda x: F.trim(x)), lambda x: x != "")
     refs = _word_references(read("word_occurrence")).select("ref_field", "child_key", "target_kind", "target_key", "child_at")
-    refs = refs.union(references(_dated_by_child(tafsir, "tafsir_id"), "tafsir.ayah_keys", "ayah", "tafsir_id", entries))
+    refs = refs.union(references(dated_by_child(tafsir, "tafsir_id", "ayah_keys"), "tafsir.ayah_keys", "ayah", "tafsir_id", entries))
     refs = refs.union(references(related, "related_hadith.tafsir_id", "tafsir", "link_id", F.col("tafsir_id")))
     refs = refs.union(references(related, "related_hadith.hadith_id", "hadith", "link_id", F.col("hadith_id")))
     known = targets(read("hadith"), "hadith", "hadith_id").union(targets(tafsir, "tafsir", "tafsir_id"))
