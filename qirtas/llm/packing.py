@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CAPACITY, BUCKETS = 2048, 64
+CAPACITY, RANKED = 2048, 1_000_000
 Plan = dict[int, tuple[list[int], list[int], list[int]]]
 
 
@@ -92,11 +92,16 @@ def pieces(documents: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return rows.select("doc_id", F.col("piece").cast("int").alias("piece"), "token_start", F.least(F.col("n") - F.col("token_start"), F.lit(capacity)).cast("int").alias("size"))
 
 
-def pack(documents: DataFrame, capacity: int = CAPACITY, buckets: int = BUCKETS) -> DataFrame:
-    """(doc_id, piece, token_start, size, container, at): every piece in one container, beginning at token ``at`` of it."""
-    bucket = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int").alias("bucket")
-    rows = pieces(documents, capacity).select("*", bucket)
-    counted = rows.groupBy("size", "bucket").agg(F.count(F.lit(1)).alias("n")).collect()  # at most capacity x buckets rows
+def pack(documents: DataFrame, capacity: int = CAPACITY, ranked: int = RANKED) -> DataFrame:
+    """(doc_id, piece, token_start, size, container, at): every piece in one container, beginning at token ``at`` of it.
+
+    Ranks are given in buckets of about ``ranked`` documents of one size, so no task sorts more, however many documents share a size.
+    """
+    rows = pieces(documents, capacity)
+    buckets = rows.groupBy("size").agg(F.ceil(F.count(F.lit(1)) / ranked).alias("buckets"))
+    rows = rows.join(F.broadcast(buckets), "size")  # at most ``capacity`` rows
+    rows = rows.select("doc_id", "piece", "token_start", "size", F.pmod(F.xxhash64("doc_id", "piece"), F.col("buckets")).cast("int").alias("bucket"))
+    counted = rows.groupBy("size", "bucket").agg(F.count(F.lit(1)).alias("n")).collect()  # at most capacity + rows / ranked
     totals: dict[int, int] = defaultdict(int)
     before: dict[tuple[int, int], int] = {}
     for size, key, n in sorted(counted):
