@@ -142,15 +142,16 @@ def marks(occurrences: DataFrame, lemmas: DataFrame, rare: int = RARE, common: f
     whose stored frequency is not the number of their locations (none counts as 0). Lemmas are those of the lemma table."""
     counts = term_counts(occurrences)
     total = occurrences.where("location is not null").select(parent_key(F.col("location")).alias("rec")).groupBy("rec").agg(F.lit(1)).agg(F.count(F.lit(1)).alias("total"))
-    known = lemmas.where("lemma_id is not null").groupBy(F.col("lemma_id").cast("string").alias("term")).agg(F.collect_set("frequency").alias("stored"))
-    words = counts.where("field = 'surface_norm'").select("field", "term", "occurrences", "records", F.lit(None).cast("array<bigint>").alias("stored"))
-    of_lemmas = known.join(counts.where("field = 'lemma'").drop("field"), "term", "left").na.fill(0, ["occurrences", "records"]).select(F.lit("lemma").alias("field"), "term", "occurrences", "records", "stored")
+    known = lemmas.where("lemma_id is not null").groupBy(F.col("lemma_id").cast("string").alias("term")).agg(F.min("frequency").alias("least"), F.max("frequency").alias("most"))
+    none = [F.lit(None).cast("bigint").alias(c) for c in ("least", "most")]
+    words = counts.where("field = 'surface_norm'").select("field", "term", "occurrences", "records", *none)
+    of_lemmas = known.join(counts.where("field = 'lemma'").drop("field"), "term", "left").na.fill(0, ["occurrences", "records"]).select(F.lit("lemma").alias("field"), "term", "occurrences", "records", "least", "most")
     rows = words.union(of_lemmas).join(F.broadcast(total))  # one row
     found = F.array_compact(
         F.array(
             F.when(F.col("records").between(1, rare), F.lit("rare")),
             F.when(F.col("records") > common * F.col("total"), F.lit("common")),
-            F.when(F.exists("stored", lambda x: x != F.col("occurrences")), F.lit("stale")),
+            F.when((F.col("least") != F.col("occurrences")) | (F.col("most") != F.col("occurrences")), F.lit("stale")),
         )
     )
     return rows.select(F.col("field").alias("field_name"), "term", F.explode(found).alias("mark"))
