@@ -58,6 +58,10 @@ def _stems(words: pa.Array) -> list[str]:
 
 def _terms(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(distinct stems, number of every word's stem, offsets of the texts)."""
+    # words written in other forms of their letters are the same words
+    texts = pc.utf8_normalize(pc.replace_substring_regex(as_array(texts), "[\\p{Cf}\\x{034F}]", ""), "NFKC")
+    for form, letter in (("ی", "ي"), ("ک", "ك"), ("ۃ", "ة"), ("ہ", "ه"), ("ە", "ه")):
+        texts = pc.replace_substring(texts, form, letter)
     words, codes, ends = words_of(normalized(texts), " ")
     ids: dict[str, int] = {}
     to = np.fromiter((ids.setdefault(s, len(ids)) for s in _stems(words)), np.int64, len(words))
@@ -158,33 +162,58 @@ def _represented(words: DataFrame, sizes: dict[tuple[str, int], int], concepts:
     return words.repartition(*key).sortWithinPartitions(*key, "block").mapInArrow(run, "block int, lang_pair string, side int, word string, weight float, vector binary")
 
 
-_JOIN = """
-WITH s AS (
-  SELECT a.rec, a.lo AS i0, a.hi AS i1, b.lo AS j0, b.hi AS j1, array_cosine_similarity(a.v, b.v) AS score
-  FROM ar a JOIN tr b ON a.rec = b.rec AND (a.lo = a.hi OR b.lo = b.hi)
-), ranked AS (
-  SELECT *, max(score) OVER (PARTITION BY rec, i0, i1) AS best_a, max(score) OVER (PARTITION BY rec, j0, j1) AS best_b FROM s WHERE score >= {least}
-), spans AS (
-  SELECT * FROM ranked WHERE score = best_a AND score = best_b
-)
-SELECT DISTINCT rec, i, j, max(score) OVER (PARTITION BY rec, i, j) AS score
-FROM (SELECT rec, score, i, unnest(range(j0, j1 + 1)) AS j FROM (SELECT rec, score, j0, j1, unnest(range(i0, i1 + 1)) AS i FROM spans))
-"""
-
-
-def _windows(ends: np.ndarray, vectors: np.ndarray, merged: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(record, first, last, vector) of every sentence and every merge of up to ``merged`` neighbours in a record."""
-    record = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
-    at = np.arange(len(record)) - ends[record]
-    parts = [(record, at, at, vectors)]
-    total = vectors
+def _join_sql(merged: int, least: float) -> str:
+    """Cosines of single sentences by a join within the record; those of merged windows follow from sums of the products."""
+    windows = ["SELECT rec, i AS i0, i AS i1, j AS j0, j AS j1, product, 1 AS n, 1 AS width FROM single"]
     for k in range(1, merged):
-        if len(record) <= k:
-            break
-        total = total[:-1] + vectors[k:]
-        same = record[:-k] == record[k:]
-        parts.append((record[:-k][same], at[:-k][same], at[k:][same], total[same]))
-    return tuple(np.concatenate(x) for x in zip(*parts))  # type: ignore[return-value]
+        for own, other in ("ij", "ji"):
+            over = f"OVER (PARTITION BY rec, {other} ORDER BY {own} ROWS BETWEEN CURRENT ROW AND {k} FOLLOWING)"
+            last = {"i": ("i + %d" % k if own == "i" else "i"), "j": ("j + %d" % k if own == "j" else "j")}
+            windows.append(f"SELECT rec, i, {last['i']}, j, {last['j']}, sum(product) {over}, count(*) {over}, {k + 1} FROM single")
+    return f"""
+    WITH single AS (
+      SELECT a.rec, a.place AS i, b.place AS j, array_inner_product(a.v, b.v) AS product FROM ar a JOIN tr b ON a.rec = b.rec
+    ), s AS (
+      SELECT w.rec, i0, i1, j0, j1, product / (a.norm * b.norm) AS score
+      FROM ({' UNION ALL '.join(windows)}) w
+      JOIN ar_norm a ON w.rec = a.rec AND i0 = a.lo AND i1 = a.hi JOIN tr_norm b ON w.rec = b.rec AND j0 = b.lo AND j1 = b.hi
+      WHERE n = width AND a.norm > 0 AND b.norm > 0 AND product / (a.norm * b.norm) >= {least}
+    ), ranked AS (
+      SELECT *, max(score) OVER (PARTITION BY rec, i0, i1) AS best_a, max(score) OVER (PARTITION BY rec, j0, j1) AS best_b FROM s
+    ), spans AS (
+      SELECT * FROM ranked WHERE score = best_a AND score = best_b
+    )
+    SELECT rec, i, j, max(score) AS score
+    FROM (SELECT rec, score, i, unnest(range(j0, j1 + 1)) AS j FROM (SELECT rec, score, j0, j1, unnest(range(i0, i1 + 1)) AS i FROM spans))
+    GROUP BY rec, i, j"""
+
+
+def _norms(record: np.ndarray, at: np.ndarray, vectors: np.ndarray, merged: int) -> pa.Table:
+    """(rec, lo, hi, norm) of every sentence and of every merge of up to ``merged`` neighbours in a record."""
+    square = np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64)
+    parts, total = [], np.zeros(len(record))
+    for k in range(min(merged, len(record))):
+        # the square of a longer window: that of the one before, the new sentence's, and its products with the others
+        n = len(record) - k
+        total = total[:n] + square[k:]
+        for d in range(1, k + 1):
+            total = total + 2 * np.einsum("ij,ij->i", vectors[k - d : k - d + n], vectors[k:], dtype=np.float64)
+        same = record[:n] == record[k:]
+        parts.append((record[:n][same], at[:n][same], at[k:][same], np.sqrt(np.maximum(total[same], 0))))
+    return pa.table(dict(zip(("rec", "lo", "hi", "norm"), (np.concatenate(x) for x in zip(*parts)))) if parts else {k: pa.array([], t) for k, t in (("rec", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("norm", pa.float64()))})
+
+
+def _sums(vectors: np.ndarray, rows: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The sum of the vectors of every sentence: word by word over all sentences that are long enough, longest first."""
+    sizes = np.diff(ends)
+    order = np.argsort(-sizes, kind="stable")
+    starts, long = ends[:-1][order], np.searchsorted(-sizes[order], -np.arange(1, (sizes.max(initial=0)) + 1), side="right")
+    total = np.zeros((len(sizes), vectors.shape[1]), np.float32)
+    for k, n in enumerate(long.tolist()):
+        total[:n] += vectors[rows[starts[:n] + k]]
+    out = np.empty_like(total)
+    out[order] = total
+    return out
 
 
 def _align_block(texts: pa.Table, words: pa.Table, concepts: int, merged: int, least: float) -> pa.Table:
@@ -212,22 +241,17 @@ def _align_block(texts: pa.Table, words: pa.Table, concepts: int, merged: int, l
             to = np.array([named.get((pair, side, s), len(vectors) - 1) for s in stems], np.int64)
             mine = (pair_of == pair)[record[sentence]] if len(codes) else np.zeros(0, bool)
             rows[mine] = to[codes[mine]]
-        total = np.zeros((len(record), concepts), np.float32)
-        filled = np.flatnonzero(np.diff(of_sentence))
-        for k in range(0, len(filled), 20_000):
-            some = filled[k : k + 20_000]
-            a, b = of_sentence[some[0]], of_sentence[some[-1] + 1]
-            total[some] = np.add.reduceat(vectors[rows[a:b]], of_sentence[some] - a, axis=0)
+        total = _sums(vectors, rows, of_sentence)
         total[np.arange(len(record)), concept[record]] = 0
-        rec, lo, hi, v = _windows(ends, total, merged)
-        some = np.abs(v).max(axis=1, initial=0) > 0
-        flat = pa.FixedSizeListArray.from_arrays(pa.array(np.ascontiguousarray(v[some]).reshape(-1)), concepts)
-        tables[table] = pa.table({"rec": rec[some], "lo": lo[some], "hi": hi[some], "v": flat})
+        at = np.arange(len(record)) - ends[record]
+        flat = pa.FixedSizeListArray.from_arrays(pa.array(total.reshape(-1)), concepts)
+        tables[table] = pa.table({"rec": record, "place": at, "v": flat})
+        tables[f"{table}_norm"] = _norms(record, at, total, merged)
     link = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
     for table, rows in tables.items():
         link.register(f"_{table}", rows)
-        link.execute(f"CREATE VIEW {table} AS SELECT rec, lo, hi, v::FLOAT[{concepts}] AS v FROM _{table}")
-    found = link.execute(_JOIN.format(least=least)).to_arrow_table()
+        link.execute(f"CREATE VIEW {table} AS SELECT " + ("*" if table.endswith("norm") else f"rec, place, v::FLOAT[{concepts}] AS v") + f" FROM _{table}")
+    found = link.sql(_join_sql(merged, least)).to_arrow_table()
     link.close()
     rec = found.column("rec").combine_chunks()
     kept = texts.select(["rec_table", "rec_key", "lang_pair"]).take(rec)

@@ -95,7 +95,7 @@ def canonical(values: DataFrame, column: str = "value") -> DataFrame:
         link = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         for batch in batches:
             link.register("batch", pa.Table.from_batches([batch]))
-            yield from link.execute(query).to_arrow_table().combine_chunks().to_batches()
+            yield from link.sql(query).to_arrow_table().combine_chunks().to_batches()
             link.unregister("batch")
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in values.schema.fields)
