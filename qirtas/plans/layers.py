@@ -155,7 +155,8 @@ def candidate_links(tafsir: DataFrame, hadith: DataFrame, k: int = 3, least: flo
 
 def scored_links(g: Graph, links: DataFrame, source: str, order: Sequence[str]) -> Graph:
     """B17. links(tafsir_id, hadith_id, trigger_label, rank, score, ...): one edge a pair, the last sets its properties and source."""
-    rows = _edge(links, "tafsir_id", "hadith_id", "trigger_label", "rank", "score", *order, F.lit(source).alias("source"))
+    named = ["trigger_label", "rank", "score"]
+    rows = _edge(links, "tafsir_id", "hadith_id", *named, *(c for c in order if c not in named), F.lit(source).alias("source"))
     return g.merge_edges_set("RELATED_HADITH", "Tafsir", "Hadith", rows, list(order))
 
 
