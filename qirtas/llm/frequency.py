@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from qirtas.llm.vectors import as_array
 
-SALTS, RARE, COMMON = 16, 2, 0.05
+SALTS, RARE, COMMON, STRETCH = 16, 2, 0.05, 4096
 
 
 def parent_key(location: Column) -> Column:
@@ -124,11 +124,16 @@ def ngram_counts(occurrences: DataFrame, sigma: int = 3, least: int = 2) -> Data
 
     The words of a record are in the order of their places; of a place delivered more than once the first delivery stands.
     """
-    rows = occurrences.where("location is not null and trim(surface_norm) <> ''").select(parent_key(F.col("location")).alias("rec"), F.substring_index("location", ":", -1).try_cast("int").alias("at"), "surface_norm", "loaded_at", "occ_id")
-    rows = rows.where("at is not null").groupBy("rec", "at").agg(F.min_by("surface_norm", F.struct("loaded_at", "occ_id")).alias("w"))
-    order = Window.partitionBy("rec").orderBy("at")
+    place = F.substring_index("location", ":", -1).try_cast("int")
+    rows = occurrences.where("location is not null and trim(surface_norm) <> ''").select(parent_key(F.col("location")).alias("rec"), place.alias("at"), "surface_norm", "loaded_at", "occ_id")
+    # stretches of a record are read by themselves, each with the first words of the next, so a record of any length spreads over tasks
+    own = F.floor(F.col("at") / STRETCH)
+    both = F.when(F.pmod("at", F.lit(STRETCH)) < sigma - 1, F.array(own, own - 1)).otherwise(F.array(own))
+    rows = rows.where("at is not null").withColumn("stretch", F.explode(both)).repartition("rec", "stretch")
+    rows = rows.groupBy("rec", "stretch", "at").agg(F.min_by("surface_norm", F.struct("loaded_at", "occ_id")).alias("w"))
+    order = Window.partitionBy("rec", "stretch").orderBy("at")
     following = [F.when(F.lead("at", k).over(order) == F.col("at") + k, F.lead("w", k).over(order)).alias(f"w{k}") for k in range(1, sigma)]
-    wide = rows.select("rec", "at", "w", *following)
+    wide = rows.select("rec", "stretch", "at", "w", *following).where(F.col("stretch") == own)
     keep, chain = [F.col("w")], F.lit(True)
     for k in range(1, sigma):
         chain = chain & F.col(f"w{k}").isNotNull()

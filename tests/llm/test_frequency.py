@@ -49,7 +49,7 @@ def test_small_batches(spark):
 
 def test_ngrams(spark):
     rng = random.Random(2)
-    texts = {f"r{i}": [rng.choice("abc") for _ in range(rng.randrange(1, 30))] for i in range(40)}
+    texts = {f"r{i}": [rng.choice("abc") for _ in range(rng.randrange(1, 30))] for i in range(40)} | {"long": [rng.choice("abc") for _ in range(9_000)]}
     rows = [(i, f"{r}:{p}", w, None, None) for i, (r, p, w) in enumerate((r, p, w) for r, t in texts.items() for p, w in enumerate(t, 1))]
     got = {tuple(r.terms): (r.occurrences, r.records) for r in frequency.ngram_counts(spark.createDataFrame(rows, SCHEMA), 3, 2).collect()}
     count, held = Counter(), defaultdict(set)
