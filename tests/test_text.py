@@ -88,8 +88,9 @@ def test_partial_ratio(a, b):
 def test_fuzzy_top_is_brute_force(spark):
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcd") for _ in range(4))
-    corpus = [(i, " ".join(word() for _ in range(8))) for i in range(60)]
-    queries = [(i, corpus[i * 7][1][3:22].replace("a", "b", i % 2)) for i in range(8)]
+    corpus = [(i, " ".join(word() for _ in range(8))) for i in range(60)] + [(100 + i, word() * (i % 3 + 1)) for i in range(30)]
+    queries = [(i, corpus[i * 7][1][3:22].replace("a", "b", i % 2)) for i in range(8)] + [(50 + i, t[-14:] + "d" * (i % 3)) for i, (_, t) in enumerate(corpus[:12])]
+    queries += [(80, corpus[5][1]), (81, "a" + corpus[9][1][:12]), (82, "ab")]
     got = fragments.fuzzy_top(spark.createDataFrame(queries, "query_id long, text string"), spark.createDataFrame([*corpus, (99, None), (98, "")], "corpus_id long, text string"), block=3)
     wanted = set()
     for q, text in queries:
