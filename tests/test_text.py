@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from qirtas.functions import fragments, html, lemmatize, segment
+from qirtas.plans import text_queries
 
 PAGES = [
     ("b", 1, "مقدمة (١) فتوى رقم (٣) س: نص (١) آخر (¬٢)", "(١) أ\r(٢) ب\r(٣) ج"),
@@ -99,6 +100,17 @@ def test_fuzzy_top_is_brute_force(spark):
     assert {(r.query_id, r.corpus_id, round(r.score, 6), r["rank"]) for r in got.collect()} == wanted
 
 
+def test_fuzzy_top_reads_every_layer(spark, tmp_path):
+    text = "alpha beta gamma delta epsilon zeta eta"
+    layers = ["hadith", "tafsir", "fatwa", None]
+    documents = [(i, layer, " ".join([text, *["theta"] * i])) for i, layer in enumerate(layers)]
+    spark.createDataFrame([(1, text)], "item_id long, text string").write.parquet(f"{tmp_path}/eval_item.parquet")
+    for left_out in range(4):  # the three best of each choice of layers
+        spark.createDataFrame([d for d in documents if d[0] != left_out], "doc_id long, layer string, text string").write.parquet(f"{tmp_path}/documents.parquet", "overwrite")
+        got = {(r.query_id, r.corpus_id, r.score) for r in text_queries.j14_fuzzy_top(spark, str(tmp_path)).collect()}
+        assert got == {(1, i, 100.0) for i in range(4) if i != left_out}
+
+
 def test_lemmatize(spark):
     rows = spark.createDataFrame([("والكتاب",), ("والكتاب",), (None,), ("من",)], "w string")
     got = {r.w: r.candidates for r in lemmatize.lemmatize(rows, "w").collect()}
