@@ -119,8 +119,8 @@ def term_counts(occurrences: DataFrame) -> DataFrame:
     return prefix_counts(term_rows(occurrences), 1).select("field", F.get("terms", F.lit(0)).alias("term"), "occurrences", "records")
 
 
-def ngram_counts(occurrences: DataFrame, sigma: int = 3, least: int = 2) -> DataFrame:
-    """(terms, occurrences, records) of every run of up to ``sigma`` neighbouring words that occurs ``least`` times.
+def ngram_counts(occurrences: DataFrame, sigma: int = 3, least: int = 1) -> DataFrame:
+    """(terms, occurrences, records) of every run of up to ``sigma`` neighbouring words that occurs ``least`` times, by default all of them.
 
     The words of a record are in the order of their places; of a place delivered more than once the first delivery stands.
     """

@@ -44,7 +44,8 @@ def p3_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = frequency.ngram_counts(read(spark, sf_dir, "word_occurrence"))
-    return counts.select(F.array_join("terms", " ").alias("ngram"), F.size("terms").cast("long").alias("n_terms"), "occurrences", "records")
+    rare = F.col("records") <= frequency.RARE
+    return counts.select(F.array_join("terms", " ").alias("ngram"), F.size("terms").cast("long").alias("n_terms"), "occurrences", "records", rare.alias("rare"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

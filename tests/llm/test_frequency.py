@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from qirtas.llm import frequency
+from qirtas.llm import frequency, queries
 
 SCHEMA = "occ_id long, location string, surface_norm string, top_lemma_id long, loaded_at timestamp"
 
@@ -61,6 +61,14 @@ def test_ngrams(spark):
     assert got == {g: (n, len(held[g])) for g, n in count.items() if n >= 2}
 
 
+def test_ngrams_that_occur_once(spark, tmp_path):
+    words = {"a": "x y z", "b": "x y", "c": "x"}
+    rows = [(i, f"{r}:{p}", w, None, None) for i, (r, p, w) in enumerate((r, p, w) for r, t in words.items() for p, w in enumerate(t.split(), 1))]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/word_occurrence.parquet")
+    got = {tuple(r) for r in queries.p3_ngrams(spark, str(tmp_path)).collect()}
+    assert got == {("x", 1, 3, 3, False), ("y", 1, 2, 2, True), ("z", 1, 1, 1, True), ("x y", 2, 2, 2, True), ("y z", 2, 1, 1, True), ("x y z", 3, 1, 1, True)}
+
+
 def test_marks(spark):
     rows = [(i, f"{i}:1", "all", 1, None) for i in range(40)] + [(100, "1:2", "few", 2, None), (101, "1:2", "few", 2, None), (102, "2:2", "few", 2, None)]
     lemmas = spark.createDataFrame([(1, 40), (2, 3), (3, 0), (4, 7), (5, None), (None, 1)], "lemma_id long, frequency long")
