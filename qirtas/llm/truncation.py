@@ -29,21 +29,23 @@ from qirtas.operators.skew import salted_join
 from qirtas.shared import write_shared
 
 SHINGLE, ALIKE, BANDS, ROWS = 5, 0.8, 12, 4
+BUCKET, SPREAD, SALTS = 1.3, 1_000, 64  # a bucket is wider than 1 / ALIKE
 USUAL, CLOSING, UNCLOSED = 0.02, 0.5, 0.3
 _CLOSED = re.compile(r"(?<!\.\.)[.!?؟]['\"»”’)\]}]*$")
 _OPEN_ENDED = re.compile(r"(…|\.\.\.)['\"»”’)\]}]*$")
 _PUNCTUATION = "[.!?؟،,;:؛»«\"'()\\[\\]{}…“”]+"
 _MULTIPLIERS = np.random.default_rng(12).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SKETCH = "word string, n long, doc_id long, source string, text_a long, text_b long, n_chars int, n_bytes int, n_words int, ending string, closed boolean, last_word string, bands array<long>, words array<int>"
+_SKETCH = "word string, n long, doc_id long, source string, text_a long, text_b long, n_chars int, n_bytes int, n_words int, n_grams int, ending string, closed boolean, last_word string, bands array<long>, words array<int>"
 
 
-def _bands(codes_hash: np.ndarray, ends: np.ndarray) -> list[np.ndarray | None]:
-    """The band values of each text, or None where it has fewer words than a shingle."""
+def _bands(codes_hash: np.ndarray, ends: np.ndarray) -> tuple[list[np.ndarray | None], list[int]]:
+    """The band values of each text, or None where it has fewer words than a shingle, and its number of distinct shingles."""
     sizes = np.diff(ends)
     out: list[np.ndarray | None] = [None] * len(sizes)
+    distinct = [0] * len(sizes)
     enough = np.flatnonzero(sizes >= SHINGLE)
     if not len(enough):
-        return out
+        return out, distinct
     grams = mix(rolling(codes_hash, SHINGLE))
     # reduceat takes [first, last] pairs; every second result is that of a text
     edges = np.empty(2 * len(enough), np.int64)
@@ -61,7 +63,8 @@ def _bands(codes_hash: np.ndarray, ends: np.ndarray) -> list[np.ndarray | None]:
         low[b] = key
     for i, row in enumerate(enough):
         out[row] = signed(low[:BANDS, i].copy())
-    return out
+        distinct[row] = len(np.unique(grams[edges[2 * i] : edges[2 * i + 1]]))
+    return out, distinct
 
 
 def sketches(documents: DataFrame) -> DataFrame:
@@ -69,7 +72,7 @@ def sketches(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split(" ")[0] for f in _SKETCH.split(", ")]
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32())]
         vocabulary: Counter[str] = Counter()
         for batch in batches:
             texts = pc.utf8_rtrim_whitespace(as_array(batch.column(2)))
@@ -84,13 +87,14 @@ def sketches(documents: DataFrame) -> DataFrame:
             ending = ["…" if _OPEN_ENDED.search(e) else re.sub(r"\d+", "0", e) for e in ending]
             last = [named[codes[b - 1]] if b > a else None for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
             of_words = hashes[codes] if len(codes) else np.zeros(0, np.uint64)
+            bands, distinct = _bands(of_words, ends)
             two = [np.array([xxhash.xxh3_64_intdigest(t, seed) for t in plain.to_pylist()], np.uint64) for seed in (3, 4)]
             full = as_array(batch.column(2))
             columns = [
                 pa.nulls(len(stored), pa.string()), pa.nulls(len(stored), pa.int64()),
                 as_array(batch.column(0)).cast(pa.int64()), as_array(batch.column(1)), pa.array(signed(two[0])), pa.array(signed(two[1])),
                 pc.utf8_length(full).cast(pa.int32()), pc.binary_length(full).cast(pa.int32()), pa.array(np.diff(ends).astype(np.int32)),
-                pa.array(ending), pa.array(closed), pa.array(last, pa.string()), pa.array(_bands(of_words, ends), pa.list_(pa.int64())),
+                pa.array(distinct, pa.int32()), pa.array(ending), pa.array(closed), pa.array(last, pa.string()), pa.array(bands, pa.list_(pa.int64())),
                 list_array(of_words.astype(np.uint32).view(np.int32), ends, pa.int32()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -124,15 +128,24 @@ def ends_early(a: list[int], b: list[int]) -> bool:
 def cut_copies(table: DataFrame) -> DataFrame:
     """(text_a, text_b) digests of unclosed texts that a near-copy continues.
 
-    Of exact copies the one with the least doc_id stands for all. Every band links its unclosed members to its longest text.
+    Of exact copies the one with the least doc_id stands for all. Every unclosed text is compared with every other text of its bands whose
+    number of distinct shingles allows a similarity of ``ALIKE``. Such texts lie in the same or the next bucket of sizes; the texts of a
+    bucket are spread over salts, one for each ``SPREAD`` texts of the band.
     """
     text = ["text_a", "text_b"]
-    texts = table.where("doc_id is not null").groupBy(*text).agg(F.min("doc_id").alias("rep"), F.bool_and("closed").alias("closed"), F.any_value("n_words").alias("n_words"), F.any_value("bands").alias("bands"))
+    texts = table.where("doc_id is not null").groupBy(*text).agg(F.min("doc_id").alias("rep"), F.bool_and("closed").alias("closed"), F.any_value("n_grams").alias("n_grams"), F.any_value("bands").alias("bands"))
     texts = write_shared(texts.where("bands is not null"), "texts")
-    one = texts.select("rep", "n_words", "closed", F.explode("bands").alias("band"))
-    longest = one.groupBy("band").agg(F.max(F.struct("n_words", F.col("rep").alias("center"))).alias("c"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "c.center", F.col("c.n_words").alias("longest"), "n")
-    member = salted_join(one.where("not closed").select("rep", "n_words", "band"), longest, ["band"], "n", "rep", "inner")
-    pairs = member.where("longest >= n_words and center <> rep").select("rep", "center").distinct()
+    one = texts.select("rep", "n_grams", "closed", F.explode("bands").alias("band"))
+    shared = one.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("closed")).alias("n_open")).where("n > 1 and n_open > 0")
+    shared = write_shared(shared.select("band", "n", F.least(F.lit(SALTS), F.ceil(F.col("n") / SPREAD)).cast("int").alias("salts")), "bands")
+    bucket = F.floor(F.log("n_grams") / np.log(BUCKET)).cast("int")
+    members = write_shared(salted_join(one, shared, ["band"], "n", "rep", "inner").withColumn("bucket", bucket), "members")
+    others = members.select("band", "bucket", F.pmod(F.xxhash64("rep"), "salts").cast("int").alias("salt"), F.col("rep").alias("center"), F.col("n_grams").alias("n_other"))
+    near = F.array(*(F.col("bucket") + k for k in (-1, 0, 1)))
+    open_ones = members.where("not closed").withColumn("bucket", F.explode(near)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    like = F.least("n_grams", "n_other") >= ALIKE * F.greatest("n_grams", "n_other") - 1e-9
+    pairs = open_ones.join(others, ["band", "bucket", "salt"]).where((F.col("rep") != F.col("center")) & like).select("rep", "center").distinct()
+    pairs = write_shared(pairs, "pairs")
     words = table.where("doc_id is not null").select("doc_id", "words")
     left = pairs.join(words.select(F.col("doc_id").alias("rep"), "words"), "rep")
     both = left.join(words.select(F.col("doc_id").alias("center"), F.col("words").alias("other")), "center").select("rep", "words", "other")

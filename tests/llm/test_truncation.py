@@ -58,6 +58,18 @@ def test_cases(spark):
     assert share["limited"] == (120, 60) and share[""] == (1, 0)
 
 
+def test_copy_in_a_band_with_a_longer_text(spark, monkeypatch):
+    rng = random.Random(8)
+    words = lambda n: " ".join("".join(rng.choice("bdfgklmaeiou") for _ in range(7)) for _ in range(n))
+    base = words(100)
+    rows = [(0, base, "open"), (1, f"{base} {words(10)}", "open")] + [(k, f"{base} {words(30)}", "open") for k in range(2, 200)]
+    rows += [(500 + k, words(40), "open") for k in range(20)]
+    for spread in (truncation.SPREAD, 4):
+        monkeypatch.setattr(truncation, "SPREAD", spread)
+        reasons = {r.doc_id: r.reason for r in truncation.scored(spark.createDataFrame(rows, SCHEMA)).collect()}
+        assert [d for d, reason in reasons.items() if reason == "copy"] == [0]
+
+
 def test_empty(spark):
     assert truncation.scored(spark.createDataFrame([], SCHEMA)).collect() == []
 
