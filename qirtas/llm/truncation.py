@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
@@ -108,21 +109,33 @@ def sketches(documents: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "text").mapInArrow(run, _SKETCH)
 
 
+def _blocks(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
+    """The matching blocks (place in a, place in b, size) of two texts, in order."""
+    same = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    rest = SequenceMatcher(None, a[same:], b[same:], autojunk=False).get_matching_blocks()[:-1]
+    return [(0, 0, same)] * (same > 0) + [(i + same, j + same, n) for i, j, n in rest]
+
+
 def ends_early(a: list[int], b: list[int]) -> bool:
-    """Whether ``a`` and ``b`` are near-copies and ``a`` stops, at most one broken word after its last matched words, where ``b`` goes on."""
+    """Whether ``a`` and ``b`` are near-copies and ``a`` stops, at most one broken word after the last matched block, where ``b`` goes on.
+
+    A last block of one or two words counts where it is shifted against the block before by no more words than it has; else it is a chance match.
+    """
     if len(a) < SHINGLE or len(b) < SHINGLE:
         return False
     of_a, of_b = ({tuple(x[i : i + SHINGLE]) for i in range(len(x) - SHINGLE + 1)} for x in (a, b))
     both = len(of_a & of_b)
     if both < ALIKE * (len(of_a) + len(of_b) - both):
         return False
-    for rest in (0, 1):
-        tail = a[len(a) - rest - 3 : len(a) - rest]
-        places = [i for i in range(len(b) - 2) if b[i : i + 3] == tail]
-        if places:
-            at = min(places, key=lambda i: abs(i + 3 - len(a) + rest))
-            return len(b) - at - 3 > rest
-    return False
+    blocks = _blocks(a, b)
+    while len(blocks) > 1:
+        (i, j, n), (at, on, size) = blocks[-2:]
+        if size >= 3 or abs((at - i - n) - (on - j - n)) <= size:
+            break
+        blocks.pop()
+    at, on, size = blocks[-1]
+    rest = len(a) - at - size
+    return rest <= 1 and len(b) - on - size > rest
 
 
 def cut_copies(table: DataFrame) -> DataFrame:

@@ -82,3 +82,16 @@ def test_ends_early():
     assert not truncation.ends_early(w, w[:55])
     assert not truncation.ends_early(w[:20], w)  # too unlike
     assert not truncation.ends_early(w[:3], w)
+
+
+def test_ends_early_aligns():
+    w = list(range(100, 160))
+    assert truncation.ends_early([*w[:52], 7, *w[53:55]], w)  # a changed word before the last two
+    assert truncation.ends_early([*w[:53], 7, w[54]], w)
+    assert truncation.ends_early([*w[:52], 7, w[53], 8], w)  # and a broken last word
+    assert truncation.ends_early([*w[:52], *w[53:55]], w)  # a word left out
+    assert truncation.ends_early([*w[:52], 7, *w[52:54]], w)  # a word more
+    assert not truncation.ends_early([*w[:57], 7, *w[58:]], w)
+    assert not truncation.ends_early([*w[:53], 7, 8], w)  # an end of its own
+    assert not truncation.ends_early([*w[:53], 7, w[58]], w)  # a chance match far on
+    assert not truncation.ends_early(w, [*w[:52], 7, *w[53:55]])
