@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qirtas.llm.vectors import as_array, words_of
@@ -121,9 +121,10 @@ def _blocks(items: DataFrame, least: int, block: int) -> list[tuple[dict[str, in
 
 
 def leaks(documents: DataFrame, items: DataFrame, least: int = LEAST, block: int = BLOCK) -> DataFrame:
-    """(item_id, doc_id, first_word, n_words, n_shared, longest): each leak once, with the document's words (normalised),
-    how many of them lie in runs shared with the item, where the first begins and the longest match in it."""
-    schema = "item_id long, doc_id long, first_word int, n_words int, n_shared int, longest int"
+    """(item_id, doc_id, first_word, n_words, n_shared, longest, runs): each leak once, with the document's words (normalised),
+    how many of them lie in runs shared with the item, where the first begins, the longest match in it, and all its runs as
+    [first word, word behind the last]."""
+    schema = "item_id long, doc_id long, first_word int, n_words int, n_shared int, longest int, runs array<array<int>>"
     built = _blocks(items, least, block)
     shared = documents.sparkSession.sparkContext.broadcast(built)
 
@@ -153,22 +154,40 @@ def leaks(documents: DataFrame, items: DataFrame, least: int = LEAST, block: int
                             runs.append([begin, end])
                 for (item, row), runs in found.items():
                     sizes = [b - a for a, b in runs]
-                    out.append((item, row, runs[0][0], int(ends[row + 1] - ends[row]), sum(sizes), max(sizes)))
+                    out.append((item, row, runs[0][0], int(ends[row + 1] - ends[row]), sum(sizes), max(sizes), runs))
             if out:
                 columns = list(zip(*out))
-                arrays = [pa.array(columns[0], pa.int64()), as_array(batch.column(0)).take(pa.array(columns[1])).cast(pa.int64()), *(pa.array(c, pa.int32()) for c in columns[2:])]
-                yield pa.RecordBatch.from_arrays(arrays, names=["item_id", "doc_id", "first_word", "n_words", "n_shared", "longest"])
+                arrays = [pa.array(columns[0], pa.int64()), as_array(batch.column(0)).take(pa.array(columns[1])).cast(pa.int64()), *(pa.array(c, pa.int32()) for c in columns[2:-1]), pa.array(columns[-1], pa.list_(pa.list_(pa.int32())))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["item_id", "doc_id", "first_word", "n_words", "n_shared", "longest", "runs"])
 
     found = documents.where("doc_id is not null and text is not null").select("doc_id", "text").mapInArrow(stream, schema)
-    best = F.max(F.struct("n_shared", "longest", (-F.col("first_word")).alias("back"), "n_words"))
-    return found.groupBy("item_id", "doc_id").agg(best.alias("b")).select("item_id", "doc_id", (-F.col("b.back")).alias("first_word"), "b.n_words", "b.n_shared", "b.longest")
-
-
-def removal(documents: DataFrame, found: DataFrame, coverage: float = 0.5) -> DataFrame:
-    """(doc_id, n_items, covered, action): documents of which an item covers ``coverage`` or more are to go whole, of others the runs."""
-    part = F.round(F.max(F.col("n_shared") / F.col("n_words")), 6)
-    rows = found.groupBy("doc_id").agg(F.countDistinct("item_id").alias("n_items"), part.alias("covered"))
-    return rows.withColumn("action", F.when(F.col("covered") >= coverage, "document").otherwise("runs"))
+    best = F.max(F.struct("n_shared", "longest", (-F.col("first_word")).alias("back"), "n_words", "runs"))
+    return found.groupBy("item_id", "doc_id").agg(best.alias("b")).select("item_id", "doc_id", (-F.col("b.back")).alias("first_word"), "b.n_words", "b.n_shared", "b.longest", "b.runs")
+
+
+def removal(documents: DataFrame, found: DataFrame, coverage: float = 0.5, length: int = LEAST) -> DataFrame:
+    """(doc_id, n_items, covered, action, spans): what is to be removed, as (first_word, n_words) of the normalised document.
+
+    The runs of all items are merged where they overlap or touch. A document of which they cover ``coverage`` or more goes whole
+    ('document'); of others every merged run of ``length`` words or more goes ('runs'). The automaton has no runs under ``LEAST`` words.
+    """
+    runs = found.select("doc_id", "item_id", "n_words", F.explode("runs").alias("run")).select("doc_id", "item_id", "n_words", F.get("run", F.lit(0)).alias("a"), F.get("run", F.lit(1)).alias("b"))
+    n_items, n_words = F.countDistinct("item_id").alias("n_items"), F.max("n_words").alias("n_words")
+    sorted_runs = F.array_sort(F.collect_set(F.struct("a", "b"))).alias("runs")  # at most one for each word of the document and item
+
+    def add(merged: Column, run: Column) -> Column:
+        last = F.try_element_at(merged, F.lit(-1))
+        longer = F.concat(F.slice(merged, F.lit(1), F.size(merged) - 1), F.array(F.struct(last["a"].alias("a"), F.greatest(last["b"], run["b"]).alias("b"))))
+        return F.when((F.size(merged) > 0) & (run["a"] <= F.try_element_at(merged, F.lit(-1))["b"]), longer).otherwise(F.concat(merged, F.array(run)))
+
+    rows = runs.groupBy("doc_id").agg(n_items, n_words, sorted_runs)
+    rows = rows.withColumn("runs", F.aggregate("runs", F.array().cast("array<struct<a:int,b:int>>"), add))
+    rows = rows.withColumn("covered", F.aggregate("runs", F.lit(0), lambda n, r: n + r["b"] - r["a"]) / F.col("n_words"))
+    whole = F.col("covered") >= coverage
+    span = lambda first, n: F.struct(first.cast("int").alias("first_word"), n.cast("int").alias("n_words"))
+    long = F.transform(F.filter("runs", lambda r: r["b"] - r["a"] >= length), lambda r: span(r["a"], r["b"] - r["a"]))
+    spans = F.when(whole, F.array(span(F.lit(0), F.col("n_words")))).otherwise(long)
+    return rows.select("doc_id", "n_items", F.round("covered", 6).alias("covered"), F.when(whole, "document").otherwise("runs").alias("action"), spans.alias("spans"))
 
 
 def normalized_text(text: str) -> list[str]:

@@ -49,6 +49,28 @@ def test_leaks_are_brute_force(spark):
     assert actions[203] == "document" and actions[204] == "runs"
 
 
+def test_removal_merges_items(spark):
+    w = lambda a, b, name="w": " ".join(f"{name}{i}" for i in range(a, b))
+    items = [(1, w(0, 30)), (2, w(0, 30, "v")), (3, w(20, 40))]
+    docs = [
+        (1, f"{w(0, 10)} {w(0, 20, 'x')} {w(5, 15)} {w(0, 30, 'y')}"),  # two runs of one item
+        (2, f"{w(0, 30)} {w(0, 30, 'v')} {w(0, 40, 'x')}"),  # items of 30, 30 and 10 %
+        (3, f"{w(0, 30, 'x')} {w(15, 40)} {w(0, 45, 'y')}"),  # runs of two items that overlap
+        (4, f"{w(0, 10)} {w(0, 20, 'x')} {w(0, 8, 'v')} {w(0, 30, 'y')}"),
+    ]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = leakage.leaks(d, i, block=10)
+    got = {r.doc_id: (r.n_items, r.covered, r.action, [tuple(x) for x in r.spans]) for r in leakage.removal(d, found).collect()}
+    assert got == {
+        1: (1, round(20 / 70, 6), "runs", [(0, 10), (30, 10)]),
+        2: (3, 0.6, "document", [(0, 100)]),
+        3: (2, 0.25, "runs", [(30, 25)]),
+        4: (2, round(18 / 68, 6), "runs", [(0, 10), (30, 8)]),
+    }
+    cut = {r.doc_id: [tuple(x) for x in r.spans] for r in leakage.removal(d, found, length=10).collect()}
+    assert cut[4] == [(0, 10)] and cut[2] == [(0, 100)]
+
+
 def test_empty(spark):
     docs, items = data()
     d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
