@@ -73,10 +73,22 @@ UNION ALL SELECT 'edge', 'RELATED_HADITH:Tafsir:Hadith', count(*) FROM (SELECT D
 
 @query(_CORPUS)
 def b01_corpus_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B01-B11, B17, E08, E09, W18-W23, A01."""
+    """B01-B03, B05, B09-B11, B17, E08, W18-W23, A01."""
     return corpus(spark, sf_dir).counts()
 
 
+@query()
+def b08_commentary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every commentary as a block of its book, with the rendered text of its verses, its words and their lemmas."""
+    tafsir = layers.first_delivery(table(spark, sf_dir, "tafsir"), "tafsir_id").where("book_id is not null")
+    books = tafsir.select("book_id").distinct().select("book_id", F.col("book_id").alias("title"), F.col("book_id").cast("string").alias("prefix"))
+    heads = tafsir.select("book_id", F.col("tafsir_id").alias("ayah_key"), F.col("tafsir_id").alias("group_ayah_key"), "ayah_keys", F.col("text_arabic").alias("text"))
+    ayah = table(spark, sf_dir, "ayah")
+    side = ayah.select(F.col("verse_key").alias("key"), F.col("verse_key").alias("group_key"), "text")
+    g = layers.commentary_layer(Graph().create_nodes("Ayah", ayah.select("verse_key"), "verse_key"), books, heads, {"text_verses": side})
+    return layers.commentary_words(g, spark.createDataFrame([], "lemma_no long, text string")).counts()
+
+
 @query(
     "WITH k AS (SELECT tafsir_id AS src_key, hadith_id AS dst_key, arg_max((trigger_label, rank, score), (loaded_at, link_id)) AS v FROM related_hadith WHERE tafsir_id IN (SELECT tafsir_id FROM tafsir) AND hadith_id IN (SELECT hadith_id FROM hadith) GROUP BY 1, 2) "
     "SELECT src_key, dst_key, v[1] AS trigger_label, v[2] AS rank, v[3] AS score, 'related' AS source FROM k"

@@ -1,7 +1,7 @@
 import pathlib
 
 from qirtas.graph import Graph
-from qirtas.plans import layers
+from qirtas.plans import layer_queries, layers
 
 
 def test_verse_and_words(spark):
@@ -97,3 +97,12 @@ def test_queries_and_sql_have_the_same_names():
     from qirtas.plans import registry
 
     assert set(registry.oracle_sql()) <= set(registry.queries())
+
+
+def test_commentary_counts_read_the_whole_table(spark, tmp_path):
+    tafsir = [("t1", 1, "1:1,1:2", "نور الله", 1), ("t1", 1, "1:1", "نور", 2), ("t2", 1, "1:2", "قال الله نور", 1), ("t3", 2, None, "  ", 1), ("t4", 2, "9:9", "علم", 1)]
+    spark.createDataFrame(tafsir, "tafsir_id string, book_id int, ayah_keys string, text_arabic string, n int").selectExpr("* except (n)", "timestamp_seconds(n) AS loaded_at").write.parquet(f"{tmp_path}/tafsir.parquet")
+    spark.createDataFrame([("1:1", "a"), ("1:2", "b")], "verse_key string, text string").write.parquet(f"{tmp_path}/ayah.parquet")
+    got = {(r.what, r.name): r.n for r in layer_queries.b08_commentary_counts(spark, str(tmp_path)).collect()}
+    assert (got["node", "Book"], got["node", "Tafsir"], got["node", "TafsirWordOccurrence"]) == (2, 3, 6)
+    assert got["edge", "INTERPRETS:Tafsir:Ayah"] == 3 and got["edge", "PART_OF_TAFSIR:TafsirWordOccurrence:Tafsir"] == 6
