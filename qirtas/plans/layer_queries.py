@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from qirtas.functions.citations import COLLECTIONS
 from qirtas.graph import Graph
+from qirtas.operators.joins import not_seen
 from qirtas.plans import layers
 from qirtas.plans.register import Register, table
 from qirtas.plans.text_queries import _pages
-from qirtas.shared import shared_dir
+from qirtas.shared import shared_dir, write_shared
 from qirtas.streaming import ingest as streams
 
 register = Register()
@@ -135,10 +136,20 @@ def t01_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS n_distinct FROM events GROUP BY event_type")
 def t02_seen_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T02, S06."""
+    """Events and distinct ids a type; the scan of seen keys is ``s06_unseen_keys``."""
     return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("n_distinct"))
 
 
+@query()
+def s06_unseen_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of the later half of the events (by event_id) that no earlier event has, once each."""
+    events = table(spark, sf_dir, "events").where("user_id is not null")
+    half = events.agg(((F.min("event_id") + F.max("event_id")) / 2).alias("half"))
+    halves = events.join(F.broadcast(half)).select("event_id", "user_id", (F.col("event_id") <= F.col("half")).alias("early"))
+    seen = write_shared(halves.where("early").select("user_id").distinct(), "seen")
+    return not_seen(halves.where("not early").select("user_id"), seen, ["user_id"])
+
+
 @query("WITH p AS (SELECT o_custkey AS unit, CAST(o_orderkey % 5 + 1 AS INT) AS page, o_orderpriority AS key FROM orders), f AS (SELECT unit, key, min(page) AS page FROM p GROUP BY 1, 2), g AS (SELECT DISTINCT unit, page FROM f), r AS (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY page) AS k FROM g), l AS (SELECT unit, count(*) FILTER (page = k) AS last FROM r GROUP BY unit) SELECT unit, key, page FROM f JOIN l USING (unit) WHERE page <= last")
 def h05_pages_until_nothing_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of a unit count until one brings no new key."""

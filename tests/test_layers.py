@@ -106,3 +106,9 @@ def test_commentary_counts_read_the_whole_table(spark, tmp_path):
     got = {(r.what, r.name): r.n for r in layer_queries.b08_commentary_counts(spark, str(tmp_path)).collect()}
     assert (got["node", "Book"], got["node", "Tafsir"], got["node", "TafsirWordOccurrence"]) == (2, 3, 6)
     assert got["edge", "INTERPRETS:Tafsir:Ayah"] == 3 and got["edge", "PART_OF_TAFSIR:TafsirWordOccurrence:Tafsir"] == 6
+
+
+def test_unseen_keys(spark, tmp_path):
+    rows = [(0, 1), (1, 2), (2, 2), (7, 2), (8, 3), (9, 3), (10, 4), (6, None)]
+    spark.createDataFrame(rows, "event_id long, user_id long").write.parquet(f"{tmp_path}/events.parquet")
+    assert sorted(r.user_id for r in layer_queries.s06_unseen_keys(spark, str(tmp_path)).collect()) == [3, 4]
