@@ -2,10 +2,19 @@
 
 Near-copies come from MinHash banding over shingles of five words (12 bands of 4 rows), verified by exact
 Jaccard similarity of 0.8 or more; of a verified pair the copy whose alignment ends while the other goes on
-is cut. Records without such a copy are scored by how they close. A closing mark is complete. Otherwise the
-habits of the source decide, learnt from all its documents: endings that are usual there (references, closing phrases whose
-words mostly stand at ends), lengths at which unclosed texts pile up, and whether its texts close with a mark at all.
-Where they do not, only a last word that never stands inside a text and begins another word shows a cut.
+is cut. Records without such a copy are scored by their closing word. A text that ends in a closing mark is complete, and one that
+ends in an ellipsis is not. For every other text two chances are compared, that a complete text of its source ends in this
+word and that a text cut at any place does::
+
+    terminality = ln( habit / chance + open * whole )
+
+``habit``   lower bound (99 %) of the share of the source's texts, besides this one, that end in the word
+``chance``  share of the word in all running text, and of the longer words it begins: what a cut at any place leaves behind
+``open``    share of the source's texts that end without a mark and in no word of habit: whether open ends are usual there
+``whole``   1 if the word stands inside texts; else 1/2 to the number of words it begins: a broken word is no end
+
+All four are counted over all documents. A length at which open texts of the source pile up speaks against the end: by the logarithm of the
+likelihood ratio of so many texts with exactly this length, against the lengths around it, which is taken off. Below ``ln(LEAST)`` the end is no end.
 
 Defined results: null and blank texts are not cut; a null source is a source of its own; exact copies are
 compared once and all share the verdict; an empty table gives no rows; extra columns are ignored.
@@ -25,18 +34,19 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qirtas.llm.vectors import as_array, list_array, mix, rolling, signed, word_hashes, words_of
+from qirtas.llm.vectors import as_array, mix, rolling, signed, word_hashes, words_of
 from qirtas.operators.skew import salted_join
 from qirtas.shared import write_shared
 
 SHINGLE, ALIKE, BANDS, ROWS = 5, 0.8, 12, 4
 BUCKET, SPREAD, SALTS = 1.3, 1_000, 64  # a bucket is wider than 1 / ALIKE
-USUAL, CLOSING, UNCLOSED = 0.02, 0.5, 0.3
+LEAST, AROUND, SURE = 0.3, 20, 1_000  # least ratio of the chances; lengths around; how much likelier a limit must be
 _CLOSED = re.compile(r"(?<!\.\.)[.!?؟]['\"»”’)\]}]*$")
 _OPEN_ENDED = re.compile(r"(…|\.\.\.)['\"»”’)\]}]*$")
 _PUNCTUATION = "[.!?؟،,;:؛»«\"'()\\[\\]{}…“”]+"
 _MULTIPLIERS = np.random.default_rng(12).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SKETCH = "word string, n long, doc_id long, source string, text_a long, text_b long, n_chars int, n_bytes int, n_words int, n_grams int, ending string, closed boolean, last_word string, bands array<long>, words array<int>"
+_SKETCH = "word string, n long, doc_id long, source string, text_a long, text_b long, n_chars int, n_bytes int, n_grams int, closed boolean, open_ended boolean, last_word string, bands array<long>"
+_ANCHORS = [*range(1, 17), *(2**k for k in range(5, 21))]
 
 
 def _bands(codes_hash: np.ndarray, ends: np.ndarray) -> tuple[list[np.ndarray | None], list[int]]:
@@ -69,34 +79,30 @@ def _bands(codes_hash: np.ndarray, ends: np.ndarray) -> tuple[list[np.ndarray |
 
 
 def sketches(documents: DataFrame) -> DataFrame:
-    """One row a document, with what the rest needs of it, and one row for each distinct word of a task with its count."""
+    """One row a document, with what the rest needs of it, and one row for each distinct word of a task with its count. Numbers are one word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split(" ")[0] for f in _SKETCH.split(", ")]
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.string(), pa.list_(pa.int64())]
         vocabulary: Counter[str] = Counter()
         for batch in batches:
             texts = pc.utf8_rtrim_whitespace(as_array(batch.column(2)))
             plain = pc.replace_substring_regex(pc.replace_substring_regex(texts, _PUNCTUATION, ""), "\\s+", " ")
             words, codes, ends = words_of(plain, " ")
-            named, hashes = words.to_pylist(), word_hashes(words)
+            hashes, named = word_hashes(words), pc.replace_substring_regex(words, "\\p{Nd}+", "0").to_pylist()
             for code, n in zip(*(x.tolist() for x in np.unique(codes, return_counts=True))):
                 vocabulary[named[code]] += n
-            stored = texts.to_pylist()
-            ending = [(t.rsplit(None, 1) or [""])[-1] for t in stored]
-            closed = [bool(_CLOSED.search(e)) for e in ending]
-            ending = ["…" if _OPEN_ENDED.search(e) else re.sub(r"\d+", "0", e) for e in ending]
-            last = [named[codes[b - 1]] if b > a else None for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            of_words = hashes[codes] if len(codes) else np.zeros(0, np.uint64)
-            bands, distinct = _bands(of_words, ends)
+            ending = [(t.rsplit(None, 1) or [""])[-1] for t in texts.to_pylist()]
+            last = [named[codes[b - 1]] if b > a else "" for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            bands, distinct = _bands(hashes[codes] if len(codes) else np.zeros(0, np.uint64), ends)
             two = [np.array([xxhash.xxh3_64_intdigest(t, seed) for t in plain.to_pylist()], np.uint64) for seed in (3, 4)]
             full = as_array(batch.column(2))
             columns = [
-                pa.nulls(len(stored), pa.string()), pa.nulls(len(stored), pa.int64()),
+                pa.nulls(len(ending), pa.string()), pa.nulls(len(ending), pa.int64()),
                 as_array(batch.column(0)).cast(pa.int64()), as_array(batch.column(1)), pa.array(signed(two[0])), pa.array(signed(two[1])),
-                pc.utf8_length(full).cast(pa.int32()), pc.binary_length(full).cast(pa.int32()), pa.array(np.diff(ends).astype(np.int32)),
-                pa.array(distinct, pa.int32()), pa.array(ending), pa.array(closed), pa.array(last, pa.string()), pa.array(bands, pa.list_(pa.int64())),
-                list_array(of_words.astype(np.uint32).view(np.int32), ends, pa.int32()),
+                pc.utf8_length(full).cast(pa.int32()), pc.binary_length(full).cast(pa.int32()), pa.array(distinct, pa.int32()),
+                pa.array([bool(_CLOSED.search(e)) for e in ending], pa.bool_()), pa.array([bool(_OPEN_ENDED.search(e)) for e in ending], pa.bool_()),
+                pa.array(last, pa.string()), pa.array(bands, pa.list_(pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
         found = list(vocabulary.items())
@@ -109,14 +115,14 @@ def sketches(documents: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "text").mapInArrow(run, _SKETCH)
 
 
-def _blocks(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
+def _blocks(a: list, b: list) -> list[tuple[int, int, int]]:
     """The matching blocks (place in a, place in b, size) of two texts, in order."""
     same = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
     rest = SequenceMatcher(None, a[same:], b[same:], autojunk=False).get_matching_blocks()[:-1]
     return [(0, 0, same)] * (same > 0) + [(i + same, j + same, n) for i, j, n in rest]
 
 
-def ends_early(a: list[int], b: list[int]) -> bool:
+def ends_early(a: list, b: list) -> bool:
     """Whether ``a`` and ``b`` are near-copies and ``a`` stops, at most one broken word after the last matched block, where ``b`` goes on.
 
     A last block of one or two words counts where it is shifted against the block before by no more words than it has; else it is a chance match.
@@ -138,8 +144,8 @@ def ends_early(a: list[int], b: list[int]) -> bool:
     return rest <= 1 and len(b) - on - size > rest
 
 
-def cut_copies(table: DataFrame) -> DataFrame:
-    """(text_a, text_b) digests of unclosed texts that a near-copy continues.
+def cut_copies(table: DataFrame, documents: DataFrame) -> DataFrame:
+    """(text_a, text_b) digests of unclosed texts that a near-copy continues; their texts are read again from ``documents``.
 
     Of exact copies the one with the least doc_id stands for all. Every unclosed text is compared with every other text of its bands whose
     number of distinct shingles allows a similarity of ``ALIKE``. Such texts lie in the same or the next bucket of sizes; the texts of a
@@ -159,89 +165,121 @@ def cut_copies(table: DataFrame) -> DataFrame:
     like = F.least("n_grams", "n_other") >= ALIKE * F.greatest("n_grams", "n_other") - 1e-9
     pairs = open_ones.join(others, ["band", "bucket", "salt"]).where((F.col("rep") != F.col("center")) & like).select("rep", "center").distinct()
     pairs = write_shared(pairs, "pairs")
-    words = table.where("doc_id is not null").select("doc_id", "words")
-    left = pairs.join(words.select(F.col("doc_id").alias("rep"), "words"), "rep")
-    both = left.join(words.select(F.col("doc_id").alias("center"), F.col("words").alias("other")), "center").select("rep", "words", "other")
+    if pairs.isEmpty():
+        return texts.select(*text).limit(0)
+    read = documents.where("doc_id is not null").select("doc_id", "text").hint("merge")
+    left = pairs.join(read.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    both = left.join(read.select(F.col("doc_id").alias("center"), F.col("text").alias("other")), "center").select("rep", "text", "other")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [ends_early(a, b) for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-            yield batch.select(["rep"]).filter(pa.array(keep, pa.bool_()))
+            a, b = (pc.replace_substring_regex(as_array(batch.column(k)), _PUNCTUATION, "").to_pylist() for k in (1, 2))
+            yield batch.select(["rep"]).filter(pa.array([ends_early(x.split(), y.split()) for x, y in zip(a, b)], pa.bool_()))
 
     found = both.mapInArrow(verify, "rep long").distinct()
     return texts.join(found, "rep", "left_semi").select(*text)
 
 
-def source_habits(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """One row a source: its documents (n_docs), the lengths at which its unclosed texts pile up, its usual endings, and whether it never closes.
+def limits(open_texts: DataFrame, measure: str) -> DataFrame:
+    """(source, ``measure``, k, at_...) of the lengths at which so many open texts of a source end that it is no chance.
 
-    All of it comes from counts per source and value; every list is bounded, since each of its entries holds a set part of the source's documents.
+    ``k`` texts with one length are compared with the ``AROUND`` lengths on either side: at_... is the logarithm of the likelihood ratio, as far as
+    it exceeds that of ``SURE`` times the number of lengths looked at. The window runs over distinct lengths of a source, which its longest text bounds.
     """
-    sizes = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.count_if("closed").alias("n_closed"))
-    unclosed = docs.where("not closed").select("source", "n_chars", "n_bytes", "ending", "last_word")
-
-    def limits(measure: str) -> DataFrame:
-        at = unclosed.groupBy("source", F.col(measure).alias("v")).agg(F.count(F.lit(1)).alias("k"))
-        near = F.sum("k").over(Window.partitionBy("source").orderBy("v").rangeBetween(-20, 20))
-        total = F.sum("k").over(Window.partitionBy("source"))
-        spike = at.withColumns({"near": near, "total": total}).where("k >= 4 and k >= 0.05 * total and k >= 0.25 * near")
-        return spike.groupBy("source").agg(F.collect_list("v").alias(f"at_{measure}"))
-
-    base = sizes.join(limits("n_chars"), "source", "left").join(limits("n_bytes"), "source", "left")
-    none = F.array().cast("array<int>")
-    base = base.withColumns({c: F.coalesce(c, none) for c in ("at_n_chars", "at_n_bytes")})
-    free = salted_join(unclosed, base, ["source"], "n_docs", "last_word", "inner").where(~_at_limit() & (F.col("ending") != "…"))
-    # references differ in their numbers only, so their last word is not looked at
-    named = F.when(~F.col("ending").contains("0"), F.col("last_word"))
-    kept = free.groupBy("source", "ending", named.alias("last_word")).agg(F.count(F.lit(1)).alias("k"))
-    often = kept.join(sizes, "source").where(F.col("k") >= F.greatest(F.lit(3), USUAL * F.col("n_docs"))).select("source", "ending", "last_word", "k")
-    at_end = docs.groupBy("last_word").agg(F.count(F.lit(1)).alias("w_end"))
-    closing = at_end.join(vocabulary, F.col("last_word") == F.col("word")).where(F.col("w_end") >= CLOSING * F.col("n")).select("last_word", F.lit(True).alias("closes"))
-    usual = often.join(closing, "last_word", "left").where(F.col("ending").contains("0") | F.col("closes"))
-    usual = usual.groupBy("source").agg(F.collect_set("ending").alias("usual"), F.sum("k").alias("k_usual"))
-    open_ones = kept.groupBy("source").agg(F.sum("k").alias("k_open"))
-    all_ = base.join(open_ones, "source", "left").join(usual, "source", "left").na.fill(0, ["k_open", "k_usual"])
-    never = (F.col("k_open") - F.col("k_usual")) / F.greatest(F.col("n_closed") + F.col("k_open"), F.lit(1)) > UNCLOSED
-    return all_.select("source", "n_docs", "at_n_chars", "at_n_bytes", F.coalesce("usual", F.array().cast("array<string>")).alias("usual"), never.alias("never_closes"))
-
-
-def _at_limit() -> Column:
-    return F.array_contains("at_n_chars", F.col("n_chars")) | F.array_contains("at_n_bytes", F.col("n_bytes"))
+    at = open_texts.groupBy("source", measure).agg(F.count(F.lit(1)).alias("k"))
+    source = Window.partitionBy("source")
+    near = F.sum("k").over(source.orderBy(measure).rangeBetween(-AROUND, AROUND))
+    usual = (near - F.col("k") + 1) / F.lit(2.0 * AROUND + 1)
+    rows = at.withColumns({"usual": usual, "looked_at": F.count(F.lit(1)).over(source)})
+    ratio = F.col("k") * F.ln(F.col("k") / F.col("usual")) - (F.col("k") - F.col("usual"))
+    found = rows.where(F.col("k") > F.col("usual")).withColumn("excess", ratio - F.ln(F.col("looked_at") * SURE)).where("excess > 0")
+    return found.select("source", measure, "k", F.col("excess").alias(f"at_{measure}"))
 
 
-def scored(documents: DataFrame) -> DataFrame:
-    """(doc_id, source, closed, reason): reason tells why a document counts as cut, or is null.
+def begun(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(last_word, begun): how many words of running text each of the distinct ``words`` begins, without itself.
 
-    'copy' - a near-copy goes on; 'mark' - it ends in an ellipsis; 'limit' - unclosed at a length where the source's unclosed texts pile up;
-    'open' - unclosed in a source whose texts close; 'fragment' - its last word is a broken one. Closed documents take no part in the joins.
+    A word of the vocabulary meets them by some of its beginnings only: those of 1 to 16 characters, then of 32, 64 and so on,
+    so that what is sent grows with the length of a word. A longer one is looked up by the greatest such beginning and then compared.
+    """
+    length = F.length("word")
+    starts = F.filter(F.array(*map(F.lit, _ANCHORS)), lambda k: k < length)
+    parts = vocabulary.where("length(word) > 1").select("word", "n", F.explode(starts).alias("k")).withColumn("anchor", F.substring(F.col("word"), F.lit(1), F.col("k")))
+    own = F.array_max(F.filter(F.array(*map(F.lit, _ANCHORS)), lambda k: k <= F.length("last_word")))
+    wanted = words.where("last_word <> ''").withColumn("k", own).withColumn("anchor", F.substring(F.col("last_word"), F.lit(1), F.col("k")))
+    exact = parts.groupBy("anchor").agg(F.sum("n").alias("begun")).hint("merge").join(wanted.where("k = length(last_word)").select("anchor", "last_word"), "anchor").select("last_word", "begun")
+    longer = wanted.where("k < length(last_word)").select("anchor", "k", "last_word")
+    met = parts.where("k >= 16").hint("merge").join(longer, ["anchor", "k"]).where(F.startswith("word", "last_word") & (F.col("word") != F.col("last_word")))
+    return exact.union(met.groupBy("last_word").agg(F.sum("n").alias("begun")))
+
+
+def _at_least(count: Column) -> Column:
+    """Lower bound (99 %) of the expectation of a Poisson count."""
+    bound = count * F.pow(F.greatest(F.lit(0.0), 1 - 1 / (9 * count) - 2.326 / (3 * F.sqrt(count))), F.lit(3.0))
+    return F.when(count > 0, bound).otherwise(0.0)
+
+
+def terminality(docs: DataFrame, open_texts: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(source, last_word, k, terminality, habitual, whole) of the closing words of the open texts of each source."""
+    in_source = docs.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.count_if("closed").alias("n_closed"))
+    counted = (F.col("at_limit") == 0) & ~F.col("open_ended")
+    pairs = open_texts.groupBy("source", "last_word").agg(F.count(F.lit(1)).alias("k"), F.count_if(counted).alias("k_free"), F.sum(F.when(counted, F.col("copies")).otherwise(0)).alias("n_free"))
+    pairs = write_shared(pairs, "closings")
+    words = pairs.select("last_word").distinct()
+    at_end = docs.groupBy("last_word").agg(F.count(F.lit(1)).alias("n_end"))
+    total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
+    of_words = words.join(vocabulary.withColumnRenamed("word", "last_word").hint("merge"), "last_word", "left").join(at_end.hint("merge"), "last_word", "left").join(begun(words, vocabulary).hint("merge"), "last_word", "left")
+    inside = F.greatest(F.coalesce("n", F.lit(0)) - F.coalesce("n_end", F.lit(0)), F.lit(0))
+    starts = F.coalesce("begun", F.lit(0))
+    of_words = of_words.join(F.broadcast(total))  # one row
+    of_words = of_words.select("last_word", ((inside + 0.5 + starts) / F.greatest("total", F.lit(1))).alias("chance"), F.when(inside > 0, 1.0).otherwise(0.5 / F.greatest(starts.cast("double"), F.lit(0.5))).alias("whole"))
+    rated = pairs.join(of_words.hint("merge"), "last_word").join(in_source, "source")
+    rated = rated.withColumn("rate", _at_least((F.col("k_free") - 1).cast("double")) / F.col("n_docs") / F.col("chance"))
+    usual_open = rated.groupBy("source").agg((F.sum(F.when(F.col("rate") < 1, F.col("n_free")).otherwise(0)) / F.greatest(F.max("n_closed") + F.sum("n_free"), F.lit(1))).alias("open"))
+    score = F.ln(F.col("rate") + F.col("open") * F.col("whole") + 1e-9)
+    return rated.join(usual_open, "source").select("source", "last_word", "k", score.alias("terminality"), (F.col("rate") >= 1).alias("habitual"), (F.col("whole") == 1).alias("whole"))
+
+
+def judged(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sketches of documents, and one row a text without closing mark: its copies, what is known of its end and length, and ``reason``.
+
+    'mark' - it ends in an ellipsis; else the score is below ln(LEAST), and 'limit' - open texts of its source pile up at its length; 'open' - its
+    closing word is no end of a text of this source; 'fragment' - and it is a broken word. Near-copies are not looked at.
     """
     table = write_shared(sketches(documents), "sketches")
     docs = table.where("doc_id is not null")
     vocabulary = write_shared(table.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
-    habits = source_habits(docs, vocabulary)
-    unclosed = docs.where("not closed").select("doc_id", "source", "n_chars", "n_bytes", "ending", "last_word", "text_a", "text_b")
-    placed = salted_join(unclosed, habits, ["source"], "n_docs", "doc_id", "inner")
-    usual = F.array_contains("usual", F.col("ending"))
-    # a word that is not looked up gets a key of its own, so that no task gathers all of them
-    looked_up = F.when(F.col("never_closes") & ~usual, F.col("last_word")).otherwise(F.concat(F.lit("\x00"), F.col("doc_id").cast("string")))
-    judged = placed.select("doc_id", "source", "text_a", "text_b", looked_up.alias("last_word"), usual.alias("usual"), _at_limit().alias("at_limit"), (F.col("ending") == "…").alias("open_ended"), "never_closes")
-
-    at_end = docs.groupBy("last_word").agg(F.count(F.lit(1)).alias("w_end"))
-    broken = at_end.join(vocabulary, (F.col("last_word") == F.col("word")) & (F.col("w_end") == F.col("n"))).select("last_word")
-    begins = F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda k: F.substring("word", F.lit(1), k))
-    known = vocabulary.where("n >= 3 and length(word) > 1").select(F.explode(begins).alias("last_word"))
-    fragments = broken.join(known, "last_word", "left_semi").withColumn("fragment", F.lit(True))
-    copies = cut_copies(table).withColumn("copy", F.lit(True))
-    out = judged.join(fragments, "last_word", "left").join(copies, ["text_a", "text_b"], "left")
-    reason = (
-        F.when(F.col("open_ended"), "mark")
-        .when(F.col("at_limit"), "limit")
-        .when(F.col("copy") & ~F.col("usual"), "copy")
-        .when(~F.col("never_closes") & ~F.col("usual"), "open")
-        .when(F.col("fragment"), "fragment")
-    )
-    closed = docs.where("closed").select("doc_id", "source", "closed", F.lit(None).cast("string").alias("reason"))
-    return out.select("doc_id", "source", F.lit(False).alias("closed"), reason.alias("reason")).union(closed)
+    one = [F.any_value(c).alias(c) for c in ("n_chars", "n_bytes", "open_ended", "last_word")]
+    texts = docs.where("not closed").groupBy("source", "text_a", "text_b").agg(F.count(F.lit(1)).alias("copies"), *one)
+    texts = write_shared(texts, "open")
+    placed = texts
+    for measure in ("n_chars", "n_bytes"):
+        placed = salted_join(placed, limits(texts, measure), ["source", measure], "k", "text_a", "left")
+    at_limit = F.greatest(F.coalesce("at_n_chars", F.lit(0.0)), F.coalesce("at_n_bytes", F.lit(0.0)))
+    placed = write_shared(placed.select("source", "text_a", "text_b", "copies", "open_ended", "last_word", at_limit.alias("at_limit")), "placed")
+    ends = terminality(docs, placed, vocabulary)
+    scored_texts = salted_join(placed, ends, ["source", "last_word"], "k", "text_a", "inner")
+    scored_texts = scored_texts.withColumn("score", F.col("terminality") - F.col("at_limit"))
+    no_end = F.col("score") < float(np.log(LEAST))
+    reason = F.when(F.col("open_ended"), "mark").when(no_end & (F.col("at_limit") > 0), "limit").when(no_end & F.col("whole"), "open").when(no_end, "fragment")
+    return table, docs, scored_texts.withColumn("reason", reason)
+
+
+def scored(documents: DataFrame) -> DataFrame:
+    """(doc_id, source, closed, score, reason): reason tells why a document counts as cut, or is null.
+
+    Besides the reasons of ``judged``, 'copy': a near-copy goes on, and the text does not close by a habit of its source.
+    """
+    table, docs, texts = judged(documents)
+    copies = cut_copies(table, documents).withColumn("copy", F.lit(True))
+    text = ["text_a", "text_b"]
+    found = texts.join(copies, text, "left")
+    goes_on = F.coalesce("copy", F.lit(False)) & ~F.col("habitual")
+    reason = F.when(F.col("reason").isin("mark", "limit"), F.col("reason")).when(goes_on, "copy").otherwise(F.col("reason"))
+    verdicts = found.select("source", *text, "copies", "score", reason.alias("reason"))
+    open_docs = salted_join(docs.where("not closed").select("doc_id", "source", *text), verdicts, ["source", *text], "copies", "doc_id", "inner")
+    closed = docs.where("closed").select("doc_id", "source", "closed", F.lit(None).cast("double").alias("score"), F.lit(None).cast("string").alias("reason"))
+    return open_docs.select("doc_id", "source", F.lit(False).alias("closed"), "score", "reason").union(closed)
 
 
 def cut_share(flagged: DataFrame) -> DataFrame:

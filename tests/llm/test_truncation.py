@@ -95,3 +95,44 @@ def test_ends_early_aligns():
     assert not truncation.ends_early([*w[:53], 7, 8], w)  # an end of its own
     assert not truncation.ends_early([*w[:53], 7, w[58]], w)  # a chance match far on
     assert not truncation.ends_early(w, [*w[:52], 7, *w[53:55]])
+
+
+def test_recall_of_near_copies(spark):
+    """Families of nested texts, the shortest of which is cut: every cut text with a near-copy that goes on is to be found."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("bdfgklmaeiou") for _ in range(rng.randrange(4, 12)))
+    for sizes in ((72, 86), (72, 86, 92), (72, 86, 102), (72, 80, 84, 88, 93)):
+        rows = []
+        for k in range(300):
+            base = [word() for _ in range(max(sizes))]
+            rows += [(10 * k + i, " ".join(base[:n]), "lists") for i, n in enumerate(sizes)]
+        reasons = {r.doc_id: r.reason for r in truncation.scored(spark.createDataFrame(rows, SCHEMA)).collect()}
+        found = sum(reasons[10 * k] == "copy" for k in range(300))
+        assert found >= 297, (sizes, found)
+
+
+def test_begun(spark):
+    rng = random.Random(10)
+    long = "".join(rng.choice("ab") for _ in range(5_000))
+    words = {"k": 3, "ka": 1, "kata": 5, "katakan": 2, "x": 1, long: 4, long[:40]: 2, long[:16] + "z": 1, "b" * 20: 1}
+    asked = ["k", "ka", "kata", "x", "nowhere", "", long[:33], long[:17], long[:16], "b" * 19, "b" * 20]
+    vocabulary = spark.createDataFrame(list(words.items()), "word string, n long")
+    got = dict(map(tuple, truncation.begun(spark.createDataFrame([(w,) for w in asked], "last_word string"), vocabulary).collect()))
+    true = {a: sum(n for w, n in words.items() if a and w.startswith(a) and w != a) for a in asked}
+    assert {a: got.get(a, 0) for a in asked} == true
+
+
+def test_limits(spark):
+    rng = random.Random(11)
+    rows = [("s", n, 1) for n in range(100, 900)] * 2 + [("s", 512, 1)] * 14 + [("t", rng.randrange(100, 900), 1) for _ in range(40)]
+    frame = spark.createDataFrame(rows, "source string, n_chars int, x int")
+    assert [(r.source, r.n_chars) for r in truncation.limits(frame, "n_chars").collect()] == [("s", 512)]
+
+
+def test_copies_share_the_verdict(spark):
+    rng = random.Random(12)
+    text = lambda n: " ".join(rng.choice(["kata", "lima", "dari", "buku", "teman", "jalan"]) for _ in range(n))
+    cut = text(30) + " jal"
+    rows = [(k, text(30) + ".", "a") for k in range(200)] + [(1_000 + k, cut, "a") for k in range(20)] + [(2_000, cut + " kata.", None)]
+    got = {r.doc_id: r.reason for r in truncation.scored(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {d for d, r in got.items() if r} == {1_000 + k for k in range(20)}
