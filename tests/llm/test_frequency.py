@@ -36,8 +36,10 @@ def test_counts(spark):
     assert {t: v for (f, t), v in got.items() if f == "lemma"} == brute(rows, lambda r: None if r[1] is None else str(r[1]))
 
 
-def test_small_batches(spark):
-    """Groups that run over the borders of Arrow batches."""
+def test_small_batches(spark, monkeypatch):
+    """Groups that run over the borders of Arrow batches and of the rows held at once."""
+    monkeypatch.setattr(frequency, "HELD", 20)
+    monkeypatch.setattr(frequency.suffixes, "__defaults__", (frequency.STRETCH, 20))
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
@@ -47,18 +49,40 @@ def test_small_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
 
 
+def test_stretches(spark):
+    """Records of several stretches: their records are counted without repeats."""
+    rows = [r for r in words() if r[1] != "nocolon"]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    for stretch in (3, 16):
+        got = {(r.field, r.term): (r.occurrences, r.records) for r in frequency.term_counts(frame, stretch=stretch).collect()}
+        assert {t: v for (f, t), v in got.items() if f == "surface_norm"} == brute(rows, lambda r: r[0])
+        assert {t: v for (f, t), v in got.items() if f == "lemma"} == brute(rows, lambda r: None if r[1] is None else str(r[1]))
+
+
+def test_odd_places(spark):
+    """Places that are no whole numbers have no neighbours; a later delivery counts as a term, and stands in no n-gram."""
+    rows = [(1, "a:1", "x", None, None), (2, "a:2", "y", None, None), (3, "a:2", "z", None, None), (4, "a:v", "y", None, None), (5, "a:-1", "x", None, None), (6, "a:02", "y", None, None), (7, "b:3", "x", None, None), (8, "b:5", "y", None, None)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert {(r.term, r.occurrences, r.records) for r in frequency.term_counts(frame).collect()} == {("x", 3, 2), ("y", 4, 2), ("z", 1, 1)}
+    got = {tuple(r.terms): (r.occurrences, r.records) for r in frequency.ngram_counts(frame).collect()}
+    # places 2 and 02 are one place of the order
+    assert got == {("x",): (3, 2), ("y",): (3, 2), ("x", "y"): (1, 1)}
+
+
 def test_ngrams(spark):
     rng = random.Random(2)
     texts = {f"r{i}": [rng.choice("abc") for _ in range(rng.randrange(1, 30))] for i in range(40)} | {"long": [rng.choice("abc") for _ in range(9_000)]}
     rows = [(i, f"{r}:{p}", w, None, None) for i, (r, p, w) in enumerate((r, p, w) for r, t in texts.items() for p, w in enumerate(t, 1))]
-    got = {tuple(r.terms): (r.occurrences, r.records) for r in frequency.ngram_counts(spark.createDataFrame(rows, SCHEMA), 3, 2).collect()}
+    frame = spark.createDataFrame(rows, SCHEMA)
     count, held = Counter(), defaultdict(set)
     for r, t in texts.items():
         for k in (1, 2, 3):
             for i in range(len(t) - k + 1):
                 count[tuple(t[i : i + k])] += 1
                 held[tuple(t[i : i + k])].add(r)
-    assert got == {g: (n, len(held[g])) for g, n in count.items() if n >= 2}
+    for stretch in (4096, 1_000, 7):
+        got = {tuple(r.terms): (r.occurrences, r.records) for r in frequency.ngram_counts(frame, 3, 2, stretch).collect()}
+        assert got == {g: (n, len(held[g])) for g, n in count.items() if n >= 2}, stretch
 
 
 def test_ngrams_that_occur_once(spark, tmp_path):
