@@ -167,9 +167,13 @@ def cut_copies(table: DataFrame, documents: DataFrame) -> DataFrame:
     pairs = write_shared(pairs, "pairs")
     if pairs.isEmpty():
         return texts.select(*text).limit(0)
-    read = documents.where("doc_id is not null").select("doc_id", "text").hint("merge")
-    left = pairs.join(read.select(F.col("doc_id").alias("rep"), "text"), "rep")
-    both = left.join(read.select(F.col("doc_id").alias("center"), F.col("text").alias("other")), "center").select("rep", "text", "other")
+    ids = write_shared(pairs.select(F.explode(F.array("rep", "center")).alias("doc_id")).distinct(), "ids")
+    members = write_shared(documents.select("doc_id", F.col("text").alias("words")).join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    both = pairs
+    for key, other, name in (("rep", "center", "text"), ("center", "rep", "other")):
+        counted = pairs.groupBy(F.col(key).alias("doc_id")).agg(F.count(F.lit(1)).alias("k")).join(members, "doc_id").select(F.col("doc_id").alias(key), "k", F.col("words").alias(name))
+        both = salted_join(both, counted, [key], "k", other, "inner")
+    both = both.select("rep", "text", "other")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
