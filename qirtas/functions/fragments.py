@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qirtas.functions.normalize import WHITE, normalize_ar
+from qirtas.functions.normalize import EDGES, WHITE, normalize_ar
 
 # Where trailing remarks begin, and what ends a leading chain.
 REMARKS = "(?s)(قال أبو عيسى|وفي الباب|قال أبو داود|رواه|أخرجه|هذا حديث).*$"
@@ -24,7 +24,7 @@ BACKWARD = (("RAWAHU", "رواه"), ("AKHRAJA", "أخرجه"))
 STOP = "رواه|أخرجه|قال أبو|وفي الباب|هذا حديث|\\.|﴿|»"
 START = "قال رسول الله|قال النبي|عن النبي|أنه قال|يقول|:|«|﴾"
 NOISE = "من طريق|من حديث|في مسنده|في سننه|في صحيحه|في معجمه|إسناد|رجاله|الحافظ|برقم"
-REACH, LEAST_WORDS, EDGES = 400, 5, ' :،."«»﴾﴿'
+REACH, LEAST_WORDS = 400, 5
 
 
 def clean_matn(c: Column) -> Column:

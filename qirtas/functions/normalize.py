@@ -21,7 +21,13 @@ HONORIFICS = (
     "عليه السلام", "عليه الصلاة والسلام",
     "رحمه الله", "عز وجل", "تبارك وتعالى", "سبحانه وتعالى", "جل جلاله",
 )
+# Letters that the key normaliser, the search normaliser and the alef normaliser replace, and what by.
+KEY_FOLD = "إأآىة", "ااايه"
+SEARCH_FOLD = "أإآىةؤئء", "ااايهوي"
+ALEF_FOLD = "إأآ", "ااا"
 
+# What is trimmed from both ends of a fragment.
+EDGES = ' :،."«»﴾﴿'
 WHITE = "(?U)[\\s\\x{001C}-\\x{001F}]"
 
 
@@ -38,7 +44,7 @@ def squeeze(c: Column) -> Column:
 def normalize_key(c: Column) -> Column:
     """N01. Marks and tatweel go, alef forms, alef maqsura and teh marbuta are folded, ends are stripped. Null stays null."""
     bare = F.regexp_replace(c, f"[{MARKS}\\x{{0640}}]", "")
-    return strip(F.translate(bare, "إأآىة", "اااي" + "ه"))
+    return strip(F.translate(bare, *KEY_FOLD))
 
 
 def normalize_matn(c: Column) -> Column:
@@ -54,12 +60,12 @@ def normalize_ar(c: Column) -> Column:
     """N03. The search form: honorifics and marks go, letters incl. hamza carriers are folded. Null becomes the empty string."""
     x = _without_honorifics(F.coalesce(c, F.lit("")))
     x = _without_honorifics(F.regexp_replace(x, f"[{SEARCH_MARKS}]", ""))
-    return squeeze(F.translate(x, "أإآىةؤئء", "اااي" + "هوي"))
+    return squeeze(F.translate(x, *SEARCH_FOLD))
 
 
 def norm_alef(c: Column) -> Column:
     """N04. Every alef form becomes the bare alef."""
-    return F.translate(c, "إأآ", "ااا")
+    return F.translate(c, *ALEF_FOLD)
 
 
 def strip_verse_number(c: Column) -> Column:
@@ -106,8 +112,8 @@ def drop_reference_prefix(c: Column) -> Column:
 
 
 def trim_fragment(c: Column) -> Column:
-    """N18. Spaces, colons, commas, dots, quotes and ornate brackets go from both ends."""
-    return F.regexp_replace(c, "^[ :،.\"'«»﴿﴾]+|[ :،.\"'«»﴿﴾]+$", "")
+    """N18. Spaces, colons, commas, dots, quotation marks and ornate brackets go from both ends; apostrophes stay."""
+    return F.regexp_replace(c, f"^[{EDGES}]+|[{EDGES}]+$", "")
 
 
 def range_bounds(c: Column) -> tuple[Column, Column]:

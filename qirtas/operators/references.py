@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qirtas.operators.skew import HEAVY, salted_join
+from qirtas.shared import write_shared
 
 
 def dated_by_child(rows: DataFrame, key: str, *columns: str, loaded: str = "loaded_at", heavy: int = HEAVY) -> DataFrame:
@@ -46,27 +47,47 @@ def targets(rows: DataFrame, kind: str, key: str, loaded: str = "loaded_at", del
     return grouped.select(F.lit(kind).alias("target_kind"), "target_key", "target_at", "is_deleted")
 
 
-def orphan_keys(refs: DataFrame, known: DataFrame, heavy: int = HEAVY) -> DataFrame:
-    """(ref_field, target_kind, target_key, orphan_kind, target_at, n): keys with at least one orphan reference."""
-    on = ["target_kind", "target_key"]
-    period = refs.groupBy("ref_field", *on, F.trunc("child_at", "month").alias("period")).agg(F.count(F.lit(1)).alias("n"), F.min("child_at").alias("first"))
-    keys = period.groupBy("ref_field", *on).agg(F.sum("n").alias("n"), F.min("first").alias("first"))
+ON = ["ref_field", "target_kind", "target_key"]
+
+
+def periods(refs: DataFrame) -> DataFrame:
+    """References counted per key and month, with their first and last time: what is shuffled by key instead of the references."""
+    month = F.date_format("child_at", "yyyy-MM").alias("child_month")
+    return refs.groupBy(*ON, month).agg(F.count(F.lit(1)).alias("n"), F.min("child_at").alias("first"), F.max("child_at").alias("last"))
+
+
+def orphan_keys(counted: DataFrame, known: DataFrame, heavy: int = HEAVY) -> DataFrame:
+    """(ref_field, target_kind, target_key, orphan_kind, target_at, n): keys with at least one orphan reference, from ``periods``."""
+    on = ON[1:]
+    keys = counted.groupBy(*ON).agg(F.sum("n").alias("n"), F.min("first").alias("first"))
     light, hot = keys.where(F.col("n") < heavy), keys.where(F.col("n") >= heavy)
     hot_targets = known.join(F.broadcast(hot.select(*on).distinct()), on, "left_semi")
     parts = light.join(known, on, "left").union(hot.join(F.broadcast(hot_targets), on, "left"))
     kind = F.when(F.col("is_deleted").isNull(), "missing").when(F.col("is_deleted"), "deleted").when(F.col("target_at") > F.col("first"), "late")
-    return parts.withColumn("orphan_kind", kind).where("orphan_kind is not null").select("ref_field", *on, "orphan_kind", "target_at", "n")
+    return parts.withColumn("orphan_kind", kind).where("orphan_kind is not null").select(*ON, "orphan_kind", "target_at", "n")
 
 
 def orphans(refs: DataFrame, known: DataFrame, heavy: int = HEAVY) -> DataFrame:
     """(ref_field, child_key, target_key, orphan_kind, child_at) of every orphan reference."""
-    on = ["ref_field", "target_kind", "target_key"]
-    found = salted_join(refs, orphan_keys(refs, known, heavy), on, "n", "child_key", "inner", heavy)
+    found = salted_join(refs, orphan_keys(periods(refs), known, heavy), ON, "n", "child_key", "inner", heavy)
     late = (F.col("orphan_kind") != "late") | (F.col("target_at") > F.col("child_at"))
     return found.where(late).select("ref_field", "child_key", "target_key", "orphan_kind", "child_at")
 
 
-def per_period(found: DataFrame) -> DataFrame:
-    """(ref_field, child_month, orphan_kind, n_references, n_targets)."""
-    month = F.date_format("child_at", "yyyy-MM").alias("child_month")
-    return found.groupBy("ref_field", month, "orphan_kind").agg(F.count(F.lit(1)).alias("n_references"), F.countDistinct("target_key").alias("n_targets"))
+def per_period(refs: DataFrame, known: DataFrame, heavy: int = HEAVY) -> DataFrame:
+    """(ref_field, child_month, orphan_kind, n_references, n_targets) of all orphan references.
+
+    A month's references to a key are orphans all or none, but where the target came between the first and the last of
+    them; only those references are counted one by one.
+    """
+    counted = write_shared(periods(refs), "periods")
+    judged = write_shared(counted.join(orphan_keys(counted, known, heavy).drop("n"), ON), "judged")
+    whole = (F.col("orphan_kind") != "late") | (F.col("target_at") > F.col("last"))
+    split = judged.where(~whole & (F.col("target_at") > F.col("first")))
+    month = F.date_format("child_at", "yyyy-MM")
+    on = [*ON, "child_month"]
+    each = salted_join(refs.withColumn("child_month", month), split.select(*on, "orphan_kind", "target_at", "n"), on, "n", "child_key", "inner", heavy)
+    late = each.where("target_at > child_at").groupBy(*on, "orphan_kind").agg(F.count(F.lit(1)).alias("n"))
+    both = judged.where(whole).select(*on, "orphan_kind", "n").union(late.select(*on, "orphan_kind", "n"))
+    # one row a key and month on either side
+    return both.groupBy("ref_field", "child_month", "orphan_kind").agg(F.sum("n").alias("n_references"), F.count(F.lit(1)).alias("n_targets"))

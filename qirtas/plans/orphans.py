@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from qirtas.operators.references import dated_by_child, orphans, per_period, references, targets
+from qirtas.shared import write_shared
 
 
 def _word_references(words: DataFrame) -> DataFrame:
@@ -35,7 +36,7 @@ def all_references(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     refs = refs.union(references(related, "related_hadith.hadith_id", "hadith", "link_id", F.col("hadith_id")))
     known = targets(read("hadith"), "hadith", "hadith_id").union(targets(tafsir, "tafsir", "tafsir_id"))
     known = known.union(targets(read("lemma"), "lemma", "lemma_id")).union(targets(read("ayah"), "ayah", "verse_key"))
-    return refs, known
+    return write_shared(refs, "references"), write_shared(known, "targets")
 
 
 def found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +45,7 @@ def found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return per_period(orphans(*all_references(spark, sf_dir)))
+    return per_period(*all_references(spark, sf_dir))
 
 
 FOUND_SQL = """
