@@ -2,13 +2,16 @@
 
 A concept is a bundle of paired records (records hashed to ``CONCEPTS`` bundles), so it has a text in either
 language. A word is represented by how far its records lie in each bundle above expectation; a word and its
-translation occur in the same records and so have nearly the same representation although they share no letter.
-A sentence is the sum of its words, weighted by rarity; its own record's bundle is left out, for that says nothing about which
-sentence of the record it renders. Within each record a cosine join in SQL compares the sentences, and windows of
-up to three neighbours merged against single ones; mutual best spans above a threshold are the alignment, in any order.
+translation occur in the same records and so have nearly the same representation although they share no letter. Of it the
+``KEPT`` concepts count that say most. A sentence is the sum of its words, weighted by rarity; its own record's bundle is left out, for that
+says nothing about which sentence of the record it renders, and again the strongest concepts are kept. Within each record a sparse cosine join
+in SQL, on record and concept, compares the sentences, and windows of up to three neighbours merged against single ones; mutual
+best spans above a threshold are the alignment, in any order.
 
-Word statistics cover all records. Records lie in blocks, and every block gets the representations of its own
-vocabulary through a shuffle by word, so that nothing that grows with the data is broadcast or gathered.
+Word statistics cover all records. Records lie in blocks of about ``BLOCK`` characters. A word sends one row of counts for each block that
+holds it; the rows of up to ``GROUP`` blocks meet in one task, so a word that stands in every block is added up in two steps, and
+every block gets the representations of its own vocabulary. Nothing that grows with the data is broadcast or gathered. A record is
+never divided, since a sentence may be rendered anywhere in it: the join within one record grows with the product of its sentences.
 
 Defined results: records with a null or blank text on one side give no rows; sentences without counterpart give no row;
 records delivered twice are one; texts of any length are compared whole; empty tables give no rows; extra columns are ignored.
@@ -17,7 +20,7 @@ records delivered twice are one; texts of any length are compared whole; empty t
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +29,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qirtas.llm.leakage import normalized
-from qirtas.llm.tables import read
+from qirtas.llm.tables import connect, read
 from qirtas.llm.vectors import as_array, list_array, words_of
+from qirtas.operators.skew import salted_join
 from qirtas.shared import write_shared
 
-CONCEPTS, BLOCK, MERGED, LEAST = 256, 8_000, 3, 0.25
+CONCEPTS, BLOCK, MERGED, LEAST = 256, 8_000_000, 3, 0.25
+KEPT, STRONG, GROUP = 128, 128, 64
 ENDS = re.compile("[.!?؟\n]")
 _PREFIX = re.compile("^(?:[وب](?=..[^ ]))?(?:ال(?=...))?")
 
@@ -68,11 +73,12 @@ def _terms(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return list(ids), to[codes] if len(codes) else codes, ends
 
 
-_WORDS = "lang_pair string, side int, word string, block int, places array<smallint>"
+_KEY = ["lang_pair", "side", "word"]
+_COUNTS = "lang_pair string, side int, word string, block int, concepts array<smallint>, counts array<int>"
 
 
-def _occurrences(table: DataFrame) -> DataFrame:
-    """For each word of a block, the concepts of the records that hold it."""
+def _occurrences(table: DataFrame, concepts: int) -> DataFrame:
+    """For each word of a block, in how many of the block's records of each concept it stands; several rows where a block has several batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,6 +86,7 @@ def _occurrences(table: DataFrame) -> DataFrame:
             concept = batch.column("concept").to_numpy().astype(np.int64)
             pairs = as_array(batch.column("lang_pair")).dictionary_encode()
             pair = pairs.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            blocks, of_block = np.unique(block, return_inverse=True)
             for side, name in enumerate(("arabic", "other")):
                 stems, codes, ends = _terms(batch.column(name))
                 if not len(codes):
@@ -87,97 +94,117 @@ def _occurrences(table: DataFrame) -> DataFrame:
                 row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
                 once = np.unique(codes * np.int64(len(ends)) + row)
                 code, row = once // len(ends), once % len(ends)
-                key = (code * np.int64(len(pairs.dictionary)) + pair[row]) * np.int64(2**31) + block[row]
-                order = np.argsort(key, kind="stable")
-                key, row, code = key[order], row[order], code[order]
-                first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+                key = ((code * len(pairs.dictionary) + pair[row]) * len(blocks) + of_block[row]) * concepts + concept[row]
+                key, n = np.unique(key, return_counts=True)
+                word = key // concepts
+                first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+                offsets, word = np.append(first, len(key)), word[first]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pairs.dictionary.take(pa.array(pair[row[first]])),
+                        pairs.dictionary.take(pa.array(word // len(blocks) % len(pairs.dictionary))),
                         pa.array(np.full(len(first), side, np.int32)),
-                        pa.array(stems, pa.string()).take(pa.array(code[first])),
-                        pa.array(block[row[first]].astype(np.int32)),
-                        list_array(concept[row].astype(np.int16), np.append(first, len(row)), pa.int16()),
+                        pa.array(stems, pa.string()).take(pa.array(word // len(blocks) // len(pairs.dictionary))),
+                        pa.array(blocks[word % len(blocks)].astype(np.int32)),
+                        list_array((key % concepts).astype(np.int16), offsets, pa.int16()),
+                        list_array(n.astype(np.int32), offsets, pa.int32()),
                     ],
-                    names=["lang_pair", "side", "word", "block", "places"],
+                    names=["lang_pair", "side", "word", "block", "concepts", "counts"],
                 )
 
-    return table.mapInArrow(run, _WORDS)
+    return table.mapInArrow(run, _COUNTS)
 
 
-def _represented(words: DataFrame, sizes: dict[tuple[str, int], int], concepts: int) -> DataFrame:
-    """(block, lang_pair, side, word, weight, vector): the representation of every word, once for each block that holds it."""
-    totals = {pair: np.zeros(concepts) for pair, _ in sizes}
-    for (pair, concept), n in sizes.items():
-        totals[pair][concept] = n
-    shared = words.sparkSession.sparkContext.broadcast(totals)
+def _added(rows: DataFrame, key: list[str], concepts: int, schema: str, make: Callable[[tuple, np.ndarray, list], list[tuple]]) -> DataFrame:
+    """Rows (key..., block, concepts, counts) added up by key; ``make`` gives the output rows from a key, its counts and its blocks."""
+    names = [f.split(" ")[0] for f in schema.split(", ")]
+    kinds = {"string": pa.string(), "int": pa.int32(), "float": pa.float32(), "binary": pa.binary(), "array<smallint>": pa.list_(pa.int16()), "array<int>": pa.list_(pa.int32())}
+    types = [kinds[f.split(" ")[1]] for f in schema.split(", ")]
+    k = len(key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None
-        counts = np.zeros(concepts)
-        blocks: list[int] = []
-        rows: list[tuple] = []
-
-        def close() -> None:
-            if held is None:
-                return
-            size = shared.value[held[0]]
-            total, df = size.sum(), counts.sum()
-            rest = counts - df * size / max(total, 1)
-            top = np.abs(rest).max()
-            if top > 0 and df > 1:
-                vector = np.round(rest * (127 / top)).astype(np.int8).tobytes()
-                weight = float(np.log(max(total, 1) / df))
-                rows.extend((b, *held, weight, vector) for b in blocks)
-
-        def batch_of() -> pa.RecordBatch:
-            kinds = pa.int32(), pa.string(), pa.int32(), pa.string(), pa.float32(), pa.binary()
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["block", "lang_pair", "side", "word", "weight", "vector"])
-
+        total, blocks = np.zeros(concepts), []
+        out: list[tuple] = []
+        batch_of = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            pair, side, word, block = (as_array(batch.column(k)).to_pylist() for k in range(4))
-            places = as_array(batch.column(4))
-            flat, ends = places.flatten().to_numpy(zero_copy_only=False), places.offsets.to_numpy() - places.offsets[0].as_py()
-            starts = [k for k in range(len(word)) if k == 0 or word[k] != word[k - 1] or side[k] != side[k - 1] or pair[k] != pair[k - 1]]
-            for k, until in zip(starts, [*starts[1:], len(word)]):
-                key = pair[k], side[k], word[k]
-                if key != held:
-                    close()
-                    held, blocks = key, []
-                    counts = np.zeros(concepts)
-                counts += np.bincount(flat[ends[k] : ends[until]], minlength=concepts)
-                for b in block[k:until]:
-                    if not blocks or blocks[-1] != b:
-                        blocks.append(b)
-            if len(rows) > 5_000:
+            keys = list(zip(*(as_array(batch.column(i)).to_pylist() for i in range(k))))
+            block = batch.column(k).to_pylist()
+            lists = as_array(batch.column(k + 1))
+            ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            concept, n = lists.flatten().to_numpy(zero_copy_only=False), as_array(batch.column(k + 2)).flatten().to_numpy(zero_copy_only=False)
+            starts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
+            for i, until in zip(starts, [*starts[1:], len(keys)]):
+                if keys[i] != held:
+                    if held is not None:
+                        out += make(held, total, blocks)
+                    held, blocks, total = keys[i], [], np.zeros(concepts)
+                total += np.bincount(concept[ends[i] : ends[until]], n[ends[i] : ends[until]], concepts)
+                blocks += dict.fromkeys(b for b in block[i:until] if not blocks or b != blocks[-1])
+            if len(out) > 5_000:
                 yield batch_of()
-                rows.clear()
-        close()
-        if rows:
+                out.clear()
+        if held is not None:
+            out += make(held, total, blocks)
+        if out:
             yield batch_of()
 
-    key = ["lang_pair", "side", "word"]
-    return words.repartition(*key).sortWithinPartitions(*key, "block").mapInArrow(run, "block int, lang_pair string, side int, word string, weight float, vector binary")
+    return rows.repartition(*key).sortWithinPartitions(*key, "block").select(*key, "block", "concepts", "counts").mapInArrow(run, schema)
+
+
+def _represented(words: DataFrame, sizes: dict[tuple[str, int], int], concepts: int, kept: int, blocks: int, group: int = GROUP) -> DataFrame:
+    """(block, lang_pair, side, word, weight, at, vector): the strongest concepts of every word, once for each block that holds it."""
+    totals = {pair: np.zeros(concepts) for pair, _ in sizes}
+    for (pair, concept), n in sizes.items():
+        totals[pair][concept] = n
+    shared = words.sparkSession.sparkContext.broadcast(totals)  # language pairs x concepts
+
+    def vector(key: tuple, counts: np.ndarray) -> tuple | None:
+        size = shared.value[key[0]]
+        total, df = max(size.sum(), 1), counts.sum()
+        rest = counts - df * size / total
+        top = np.abs(rest).max()
+        if top <= 0 or df <= 1:
+            return None
+        at = np.sort(np.argpartition(-np.abs(rest), min(kept, concepts) - 1)[:kept])
+        return float(np.log(total / df)), at.astype(np.uint16).tobytes(), np.round(rest[at] * (127 / top)).astype(np.int8).tobytes()
+
+    if blocks <= group:
+        each = lambda key, counts, held: [(b, *key, *v) for v in [vector(key, counts)] if v for b in held]
+        return _added(words, _KEY, concepts, "block int, lang_pair string, side int, word string, weight float, at binary, vector binary", each)
+    # first the sums of up to ``group`` blocks, then of those sums
+    parted = words.withColumn("part", (F.col("block") / group).cast("int"))
+
+    def some(key: tuple, counts: np.ndarray, held: list) -> list[tuple]:
+        at = np.flatnonzero(counts)
+        return [(*key, 0, at.tolist(), counts[at].astype(int).tolist(), held)]
+
+    schema = "lang_pair string, side int, word string, part int, block int, concepts array<smallint>, counts array<int>, blocks array<int>"
+    sums = write_shared(_added(parted, [*_KEY, "part"], concepts, schema, some), "sums")
+    one = lambda key, counts, held: [(*key, *v) for v in [vector(key, counts)] if v]
+    whole = _added(sums, _KEY, concepts, "lang_pair string, side int, word string, weight float, at binary, vector binary", one)
+    whole = whole.join(sums.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("k")), _KEY)
+    rows = salted_join(sums.select(*_KEY, "part", "blocks"), whole, _KEY, "k", "part", "inner")
+    return rows.select(F.explode("blocks").alias("block"), *_KEY, "weight", "at", "vector")
 
 
 def _join_sql(merged: int, least: float) -> str:
-    """Cosines of single sentences by a join within the record; those of merged windows follow from sums of the products."""
-    windows = ["SELECT rec, i AS i0, i AS i1, j AS j0, j AS j1, product, 1 AS n, 1 AS width FROM single"]
+    """Cosines of single sentences by a join on record and concept; those of merged windows, which lie in the record by their norm, follow from sums of the products."""
+    windows = ["SELECT rec, i AS i0, i AS i1, j AS j0, j AS j1, product FROM single"]
     for k in range(1, merged):
         for own, other in ("ij", "ji"):
-            over = f"OVER (PARTITION BY rec, {other} ORDER BY {own} ROWS BETWEEN CURRENT ROW AND {k} FOLLOWING)"
+            over = f"OVER (PARTITION BY rec, {other} ORDER BY {own} RANGE BETWEEN CURRENT ROW AND {k} FOLLOWING)"
             last = {"i": ("i + %d" % k if own == "i" else "i"), "j": ("j + %d" % k if own == "j" else "j")}
-            windows.append(f"SELECT rec, i, {last['i']}, j, {last['j']}, sum(product) {over}, count(*) {over}, {k + 1} FROM single")
+            windows.append(f"SELECT rec, i, {last['i']}, j, {last['j']}, sum(product) {over} FROM single")
     return f"""
     WITH single AS (
-      SELECT a.rec, a.place AS i, b.place AS j, array_inner_product(a.v, b.v) AS product FROM ar a JOIN tr b ON a.rec = b.rec
+      SELECT a.rec, a.place AS i, b.place AS j, sum(a.w * b.w) AS product FROM ar a JOIN tr b ON a.rec = b.rec AND a.concept = b.concept GROUP BY a.rec, a.place, b.place
     ), s AS (
       SELECT w.rec, i0, i1, j0, j1, product / (a.norm * b.norm) AS score
       FROM ({' UNION ALL '.join(windows)}) w
       JOIN ar_norm a ON w.rec = a.rec AND i0 = a.lo AND i1 = a.hi JOIN tr_norm b ON w.rec = b.rec AND j0 = b.lo AND j1 = b.hi
-      WHERE n = width AND a.norm > 0 AND b.norm > 0 AND product / (a.norm * b.norm) >= {least}
+      WHERE a.norm > 0 AND b.norm > 0 AND product / (a.norm * b.norm) >= {least}
     ), ranked AS (
       SELECT *, max(score) OVER (PARTITION BY rec, i0, i1) AS best_a, max(score) OVER (PARTITION BY rec, j0, j1) AS best_b FROM s
     ), spans AS (
@@ -216,15 +243,23 @@ def _sums(vectors: np.ndarray, rows: np.ndarray, ends: np.ndarray) -> np.ndarray
     return out
 
 
-def _align_block(texts: pa.Table, words: pa.Table, concepts: int, merged: int, least: float) -> pa.Table:
-    import duckdb
+def _strongest(vectors: np.ndarray, kept: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the ``kept`` greatest entries of every row; the others become 0 in place."""
+    if kept < vectors.shape[1] and len(vectors):
+        low = np.argpartition(np.abs(vectors), vectors.shape[1] - kept, axis=1)[:, : vectors.shape[1] - kept]
+        np.put_along_axis(vectors, low, 0, axis=1)
+    return np.nonzero(vectors)
+
 
+def _align_block(texts: pa.Table, words: pa.Table, concepts: int, strong: int, merged: int, least: float) -> pa.Table:
     empty = pa.schema([("rec_table", pa.string()), ("rec_key", pa.string()), ("lang_pair", pa.string()), ("ar_sent", pa.int32()), ("tr_sent", pa.int32()), ("score", pa.float64())]).empty_table()
     if not texts.num_rows or not words.num_rows:
         return empty
     keys = texts.select(["rec_table", "rec_key", "lang_pair"]).to_pylist()
     named = {(p, s, w): k for k, (p, s, w) in enumerate(zip(*(words.column(c).to_pylist() for c in ("lang_pair", "side", "word"))))}
-    vectors = np.frombuffer(b"".join(words.column("vector").to_pylist()), np.int8).reshape(-1, concepts).astype(np.float32)
+    each, at = words.column("vector").to_pylist(), np.frombuffer(b"".join(words.column("at").to_pylist()), np.uint16)
+    vectors = np.zeros((len(each), concepts), np.float32)
+    vectors[np.repeat(np.arange(len(each)), [len(v) for v in each]), at] = np.frombuffer(b"".join(each), np.int8)
     vectors *= (words.column("weight").to_numpy() / np.linalg.norm(vectors, axis=1)).astype(np.float32)[:, None]
     vectors = np.vstack([vectors, np.zeros((1, concepts), np.float32)])
     concept = texts.column("concept").to_numpy()
@@ -244,13 +279,12 @@ def _align_block(texts: pa.Table, words: pa.Table, concepts: int, merged: int, l
         total = _sums(vectors, rows, of_sentence)
         total[np.arange(len(record)), concept[record]] = 0
         at = np.arange(len(record)) - ends[record]
-        flat = pa.FixedSizeListArray.from_arrays(pa.array(total.reshape(-1)), concepts)
-        tables[table] = pa.table({"rec": record, "place": at, "v": flat})
+        row, column = _strongest(total, strong)
+        tables[table] = pa.table({"rec": record[row].astype(np.int32), "place": at[row].astype(np.int32), "concept": column.astype(np.int16), "w": total[row, column]})
         tables[f"{table}_norm"] = _norms(record, at, total, merged)
-    link = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+    link = connect()
     for table, rows in tables.items():
-        link.register(f"_{table}", rows)
-        link.execute(f"CREATE VIEW {table} AS SELECT " + ("*" if table.endswith("norm") else f"rec, place, v::FLOAT[{concepts}] AS v") + f" FROM _{table}")
+        link.register(table, rows)
     found = link.sql(_join_sql(merged, least)).to_arrow_table()
     link.close()
     rec = found.column("rec").combine_chunks()
@@ -260,20 +294,21 @@ def _align_block(texts: pa.Table, words: pa.Table, concepts: int, merged: int, l
     return kept.append_column("score", found.column("score").cast(pa.float64()))
 
 
-def align(rows: DataFrame, concepts: int = CONCEPTS, block: int = BLOCK, merged: int = MERGED, least: float = LEAST) -> DataFrame:
+def align(rows: DataFrame, concepts: int = CONCEPTS, block: int = BLOCK, merged: int = MERGED, least: float = LEAST, kept: int = KEPT, strong: int = STRONG, group: int = GROUP) -> DataFrame:
     """(rec_table, rec_key, lang_pair, ar_sent, tr_sent, score) of the sentences that render each other."""
     rows = rows.where("rec_key is not null and trim(arabic) <> '' and trim(other) <> ''")
-    blocks = max(1, -(-rows.count() // block))
+    size = rows.agg(F.sum(F.length("arabic") + F.length("other"))).first()[0] or 0
+    blocks = max(1, -(-size // block))
     of = F.xxhash64("rec_table", "rec_key")
     placed = rows.select(F.pmod(of, F.lit(blocks)).cast("int").alias("block"), F.pmod(F.shiftright(of, 20), F.lit(concepts)).cast("int").alias("concept"), "rec_table", "rec_key", "lang_pair", "arabic", "other")
     placed = placed.dropDuplicates(["rec_table", "rec_key", "lang_pair"])
     table = write_shared(placed.repartition(2 * blocks, "block").sortWithinPartitions("block", "rec_key"), "pairs")
     sizes = {(r[0], r[1]): r[2] for r in table.groupBy("lang_pair", "concept").count().collect()}  # language pairs x concepts
-    words = _represented(_occurrences(table), sizes, concepts)
+    words = _represented(_occurrences(table, concepts), sizes, concepts, kept, blocks, group)
     names = ["rec_table", "rec_key", "lang_pair", "ar_sent", "tr_sent", "score"]
 
     def run(texts: pa.Table, vocabulary: pa.Table) -> pa.Table:
-        return _align_block(texts, vocabulary, concepts, merged, least)
+        return _align_block(texts, vocabulary, concepts, strong, merged, least)
 
     # one partition for about every block, whatever the session's number of shuffle partitions
     both = table.repartition(2 * blocks, "block").groupBy("block").cogroup(words.repartition(2 * blocks, "block").groupBy("block"))

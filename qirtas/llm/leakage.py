@@ -5,8 +5,11 @@ them. Training text is normalised the same way and streamed through it: at every
 longest run of words, ending there, that stands in some item. Runs of ``least`` words (8) or more are leaks. A
 word that no item holds ends every run, so only stretches of known words long enough for a leak are walked.
 
-Items are a query set: they are gathered on the driver in blocks of at most ``BLOCK`` words, and the corpus is
-read once for all blocks. Nothing of the corpus is gathered or shuffled but the hits.
+Items are a query set: they come to the driver in blocks of ``BLOCK`` words and the rest of an item (an automaton of about 2 states a word, some 500
+bytes each). Each block's automaton is sent to the executors and the corpus is streamed through it; with more than one block
+the corpus is read once a block, its hits are written to the shared folder, and the automaton is dropped before the next is built, so that driver and
+executors never hold more than one. Items of more than ``MOST`` words in all are refused: that many readings of the corpus
+call for a join instead. Nothing of the corpus is gathered or shuffled but the hits.
 
 Defined results: null and empty texts, and items shorter than ``least`` words, match nothing; an item that is
 repeated under another id is reported for each id; empty tables give no rows; extra columns are ignored.
@@ -20,23 +23,24 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from qirtas.functions.normalize import KEY_FOLD, MARKS, TATWEEL
 from qirtas.llm.vectors import as_array, words_of
+from qirtas.shared import write_shared
 
-LEAST, BLOCK = 8, 1_000_000
-_MARKS = "[ً-ٰٟۖ-ۭـ]+"
-_FOLD = {"إ": "ا", "أ": "ا", "آ": "ا", "ى": "ي", "ة": "ه"}
+LEAST, BLOCK, MOST = 8, 500_000, 20_000_000
+_FOLD = dict(zip(*KEY_FOLD))
 
 
 def normalized(texts: pa.Array) -> pa.Array:
     """Lower case, the key normaliser's marks and letters, and one space for everything other than letters and digits."""
     texts = pc.utf8_lower(pc.fill_null(as_array(texts), ""))
-    texts = pc.replace_substring_regex(texts, _MARKS, "")
-    texts = pc.replace_substring_regex(texts, "[إأآ]", "ا")
-    for letter in "ىة":
-        texts = pc.replace_substring(texts, letter, _FOLD[letter])
+    texts = pc.replace_substring_regex(texts, f"[{MARKS}{TATWEEL}]+", "")
+    for letter in sorted(set(_FOLD.values())):
+        texts = pc.replace_substring_regex(texts, "[" + "".join(k for k, v in _FOLD.items() if v == letter) + "]", letter)
     return pc.replace_substring_regex(texts, "[^\\p{L}\\p{Nd}]+", " ")
 
 
@@ -102,67 +106,81 @@ class Automaton:
                     yield item, at, length
 
 
-def _blocks(items: DataFrame, least: int, block: int) -> list[tuple[dict[str, int], Automaton]]:
+def _blocks(items: DataFrame, least: int, block: int) -> Iterator[tuple[dict[str, int], Automaton]]:
+    """One after the other, the word numbers and the automaton of every block of items."""
     rows = items.select(F.col("item_id").cast("long"), "text").where("item_id is not null and text is not null").toLocalIterator()
-    out: list[tuple[dict[str, int], Automaton]] = []
     ids: dict[str, int] = {}
     held: list[tuple[int, list[int]]] = []
-    size = 0
+    size = total = 0
     for item, text in rows:
         words = normalized(pa.array([text]))[0].as_py().split()
         if len(words) < least:
             continue
         held.append((item, [ids.setdefault(w, len(ids)) for w in words]))
-        size += len(words)
+        size, total = size + len(words), total + len(words)
+        if total > MOST:
+            raise ValueError(f"the items have more than {MOST} words")
         if size >= block:
-            out.append((ids, Automaton(held, least)))
+            yield ids, Automaton(held, least)
             ids, held, size = {}, [], 0
-    return [*out, (ids, Automaton(held, least))] if held else out
+    if held:
+        yield ids, Automaton(held, least)
 
 
 def leaks(documents: DataFrame, items: DataFrame, least: int = LEAST, block: int = BLOCK) -> DataFrame:
     """(item_id, doc_id, first_word, n_words, n_shared, longest, runs): each leak once, with the document's words (normalised),
     how many of them lie in runs shared with the item, where the first begins, the longest match in it, and all its runs as
     [first word, word behind the last]."""
+    context = documents.sparkSession.sparkContext
+    found = held = None
+    for built in _blocks(items, least, block):
+        if held is not None:  # there is more than one block
+            part = write_shared(_streamed(documents, held), "leaks")
+            found = part if found is None else found.union(part)
+            held.destroy()
+        held = context.broadcast(built)
+    last = _streamed(documents, held if held is not None else context.broadcast(({}, Automaton([], least))))
+    found = last if found is None else found.union(last)
+    best = F.max(F.struct("n_shared", "longest", (-F.col("first_word")).alias("back"), "n_words", "runs"))
+    return found.groupBy("item_id", "doc_id").agg(best.alias("b")).select("item_id", "doc_id", (-F.col("b.back")).alias("first_word"), "b.n_words", "b.n_shared", "b.longest", "b.runs")
+
+
+def _streamed(documents: DataFrame, shared: Broadcast) -> DataFrame:
     schema = "item_id long, doc_id long, first_word int, n_words int, n_shared int, longest int, runs array<array<int>>"
-    built = _blocks(items, least, block)
-    shared = documents.sparkSession.sparkContext.broadcast(built)
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, codes, ends = words_of(normalized(batch.column(1)), " ")
             out: list[tuple[int, ...]] = []
-            for ids, automaton in shared.value:
-                known = np.fromiter((ids.get(w, -1) for w in words.to_pylist()), np.int64, len(words))[codes] if len(words) else codes
-                border = np.zeros(len(known) + 1, bool)
-                border[ends[:-1]] = border[ends[1:]] = True
-                inside = known >= 0
-                first = np.flatnonzero(inside & (border[:-1] | ~np.concatenate([[False], inside[:-1]])))
-                after = np.flatnonzero(inside & (border[1:] | ~np.concatenate([inside[1:], [False]]))) + 1
-                long = after - first >= automaton.least
-                found: dict[tuple[int, int], list[list[int]]] = {}
-                for a, b in zip(first[long].tolist(), after[long].tolist()):
-                    row = -1
-                    for item, at, length in automaton.hits(known[a:b].tolist()):
-                        row = int(np.searchsorted(ends, a, side="right")) - 1 if row < 0 else row
-                        end = a + at + 1 - int(ends[row])
-                        begin = end - automaton.least
-                        runs = found.setdefault((item, row), [])
-                        if runs and begin <= runs[-1][1]:
-                            runs[-1][1] = end
-                        else:
-                            runs.append([begin, end])
-                for (item, row), runs in found.items():
-                    sizes = [b - a for a, b in runs]
-                    out.append((item, row, runs[0][0], int(ends[row + 1] - ends[row]), sum(sizes), max(sizes), runs))
+            ids, automaton = shared.value
+            known = np.fromiter((ids.get(w, -1) for w in words.to_pylist()), np.int64, len(words))[codes] if len(words) else codes
+            border = np.zeros(len(known) + 1, bool)
+            border[ends[:-1]] = border[ends[1:]] = True
+            inside = known >= 0
+            first = np.flatnonzero(inside & (border[:-1] | ~np.concatenate([[False], inside[:-1]])))
+            after = np.flatnonzero(inside & (border[1:] | ~np.concatenate([inside[1:], [False]]))) + 1
+            long = after - first >= automaton.least
+            found: dict[tuple[int, int], list[list[int]]] = {}
+            for a, b in zip(first[long].tolist(), after[long].tolist()):
+                row = -1
+                for item, at, length in automaton.hits(known[a:b].tolist()):
+                    row = int(np.searchsorted(ends, a, side="right")) - 1 if row < 0 else row
+                    end = a + at + 1 - int(ends[row])
+                    begin = end - automaton.least
+                    runs = found.setdefault((item, row), [])
+                    if runs and begin <= runs[-1][1]:
+                        runs[-1][1] = end
+                    else:
+                        runs.append([begin, end])
+            for (item, row), runs in found.items():
+                sizes = [b - a for a, b in runs]
+                out.append((item, row, runs[0][0], int(ends[row + 1] - ends[row]), sum(sizes), max(sizes), runs))
             if out:
                 columns = list(zip(*out))
                 arrays = [pa.array(columns[0], pa.int64()), as_array(batch.column(0)).take(pa.array(columns[1])).cast(pa.int64()), *(pa.array(c, pa.int32()) for c in columns[2:-1]), pa.array(columns[-1], pa.list_(pa.list_(pa.int32())))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["item_id", "doc_id", "first_word", "n_words", "n_shared", "longest", "runs"])
 
-    found = documents.where("doc_id is not null and text is not null").select("doc_id", "text").mapInArrow(stream, schema)
-    best = F.max(F.struct("n_shared", "longest", (-F.col("first_word")).alias("back"), "n_words", "runs"))
-    return found.groupBy("item_id", "doc_id").agg(best.alias("b")).select("item_id", "doc_id", (-F.col("b.back")).alias("first_word"), "b.n_words", "b.n_shared", "b.longest", "b.runs")
+    return documents.where("doc_id is not null and text is not null").select("doc_id", "text").mapInArrow(stream, schema)
 
 
 def removal(documents: DataFrame, found: DataFrame, coverage: float = 0.5, length: int = LEAST) -> DataFrame:

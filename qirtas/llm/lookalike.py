@@ -19,9 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qirtas.llm.tables import read
+from qirtas.llm.tables import connect, read
 from qirtas.operators.skew import salted_join
+from qirtas.shared import write_shared
 
+SPREAD = 10_000
 # Characters without a shape of their own (soft hyphen, joiners, marks of direction, selectors, byte order mark).
 INVISIBLE = [(0xAD, 0xAD), (0x34F, 0x34F), (0x61C, 0x61C), (0x180B, 0x180F), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x206F), (0xFE00, 0xFE0F), (0xFEFF, 0xFEFF), (0xFFF9, 0xFFFB), (0xE0001, 0xE007F), (0xE0100, 0xE01EF)]
 # Letters that look like the second of their pair in every place.
@@ -90,9 +92,7 @@ def canonical(values: DataFrame, column: str = "value") -> DataFrame:
     query = f"SELECT *, {canonical_sql(chr(34) + column + chr(34))} AS canonical FROM batch"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import duckdb
-
-        link = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        link = connect()
         for batch in batches:
             link.register("batch", pa.Table.from_batches([batch]))
             yield from link.sql(query).to_arrow_table().combine_chunks().to_batches()
@@ -115,17 +115,26 @@ def fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def lookalike_pairs(values: DataFrame) -> DataFrame:
+def lookalike_pairs(values: DataFrame, spread: int = SPREAD) -> DataFrame:
     """(field_name, key_a, key_b), key_a < key_b, of rows in one place whose values differ as stored but look the same.
 
-    Equal strings are first told apart from different ones by the least and greatest stored digest of a group,
-    so that groups of plain copies never meet each other; rows without place, key or value are no cases.
+    A look whose rows are all stored alike is told by the least and greatest digest of its stored forms and goes no further. In the others
+    the distinct forms are paired, and only rows of two different forms meet; the rows of a form are spread over salts, one for
+    each ``spread`` of them. Rows without place, key or value are no cases.
     """
     looks = canonical(values.where("key is not null and value is not null and place is not null"))
-    digest = looks.select("field_name", "key", F.md5(F.concat_ws("\x00", "place", "canonical")).alias("look"), F.xxhash64("value").alias("a"), F.xxhash64("value", F.lit(1)).alias("b")).select("field_name", "look", "key", F.struct("a", "b").alias("stored"))
-    on = ["field_name", "look"]
-    kinds = digest.groupBy(*on).agg(F.min("stored").alias("lo"), F.max("stored").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi").select(*on, "n")
-    mixed = salted_join(digest, kinds, on, "n", "key")
-    left = mixed.withColumnsRenamed({"key": "key_a", "stored": "stored_a"})
-    right = mixed.withColumnsRenamed({"key": "key_b", "stored": "stored_b"})
-    return left.join(right, on).where("key_a < key_b and stored_a <> stored_b").select("field_name", "key_a", "key_b").distinct()
+    on, form = ["field_name", "look_a", "look_b"], ["form_a", "form_b"]
+    look = [F.xxhash64("place", "canonical", F.lit(k)).alias(n) for k, n in enumerate(on[1:])]
+    digest = write_shared(looks.select("field_name", *look, *(F.xxhash64("value", F.lit(k)).alias(n) for k, n in enumerate(form)), "key"), "looks")
+    stored = F.struct(*form)
+    kinds = digest.groupBy(*on).agg(F.min(stored).alias("lo"), F.max(stored).alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi")
+    mixed = write_shared(salted_join(digest, write_shared(kinds.select(*on, "n"), "kinds"), on, "n", "key"), "mixed")
+    salts = F.ceil(F.col("k") / spread).cast("int")
+    forms = mixed.groupBy(*on, *form).agg(F.count(F.lit(1)).alias("k")).withColumn("salts", salts)
+    rows = salted_join(mixed, forms, [*on, *form], "k", "key", "inner").withColumn("salt", F.pmod(F.xxhash64("key"), "salts").cast("int")).drop("salts")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    other = forms.select(*on, *(F.col(c).alias(f"other_{c}") for c in (*form, "salts")))
+    pairs = forms.join(other, on).where(stored < F.struct(*(f"other_{c}" for c in form))).withColumn("salt", every("salts"))
+    left = rows.join(pairs.drop("k", "salts"), [*on, *form, "salt"]).select(*on, *(F.col(f"other_{c}").alias(c) for c in form), F.col("key").alias("one"), every("other_salts").alias("salt"))
+    met = left.join(rows, [*on, *form, "salt"]).where("one <> key")
+    return met.select("field_name", F.least("one", "key").alias("key_a"), F.greatest("one", "key").alias("key_b")).distinct()

@@ -4,8 +4,8 @@ Sizes are whole numbers up to the capacity, so documents of one size, and contai
 the sorted documents are runs of equal size, the sorted gaps runs of equal room. Each superstep takes all
 documents of the next smaller size at once. A successor sweep gives them the smallest gaps that hold them, in
 the order of their ranks; a gap taken by one rank is closed to the next, which moves to the following gap; gaps are updated
-and the step repeats until no gap holds this size, whereupon the ranks left over open new containers. The sweeps need only
-the number of documents of each size, at most ``capacity`` numbers whatever the data; what is distributed is the
+and the step repeats until no gap holds this size, whereupon the ranks left over open new containers. The sweeps, and so the supersteps, need only
+the number of documents of each size, at most ``capacity`` numbers whatever the data, and therefore run on the driver; what is distributed is the
 range-sort that gives every document its rank within its size, and looking up its container by that rank.
 
 Defined results: a text larger than the capacity is divided into full pieces and a rest, every other text stays whole.
@@ -15,7 +15,7 @@ and give no row; sizes below 1 count as 1; repeated rows are texts of their own;
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right, insort
+from bisect import bisect_left, insort
 from collections import defaultdict, deque
 from collections.abc import Iterator
 
@@ -108,19 +108,22 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, ranked: int = RANKED) -
         before[size, key] = totals[size]
         totals[size] += n
     plan, _ = sweep(totals, capacity)
-    shared = documents.sparkSession.sparkContext.broadcast((before, plan))
+    arrays = {size: tuple(np.array(x, np.int64) for x in runs) for size, runs in plan.items()}
+    shared = documents.sparkSession.sparkContext.broadcast((before, arrays))
     ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("size", "bucket").orderBy("doc_id", "piece")) - 1)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts, plans = shared.value
         for batch in batches:
-            size, key = batch.column("size").to_pylist(), batch.column("bucket").to_pylist()
-            rank = batch.column("rank").to_numpy() + np.fromiter((starts[x] for x in zip(size, key)), np.int64, len(size))
+            size, key, rank = (batch.column(n).to_numpy() for n in ("size", "bucket", "rank"))
             container, at = np.zeros(len(size), np.int64), np.zeros(len(size), np.int32)
-            for i, (s, r) in enumerate(zip(size, rank.tolist())):
-                ranks, firsts, filled = plans[s]
-                k = bisect_right(ranks, r) - 1
-                container[i], at[i] = firsts[k] + r - ranks[k], filled[k]
+            # rows come by size and bucket
+            begins = np.flatnonzero(np.append(True, (size[1:] != size[:-1]) | (key[1:] != key[:-1]))) if len(size) else []
+            for i, until in zip(begins, [*begins[1:], len(size)]):
+                ranks, firsts, filled = plans[int(size[i])]
+                r = rank[i:until] + starts[int(size[i]), int(key[i])]
+                k = np.searchsorted(ranks, r, side="right") - 1
+                container[i:until], at[i:until] = firsts[k] + r - ranks[k], filled[k]
             kept = [batch.column(n) for n in ("doc_id", "piece", "token_start", "size")]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(container), pa.array(at)], names=["doc_id", "piece", "token_start", "size", "container", "at"])
 

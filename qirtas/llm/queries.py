@@ -26,6 +26,10 @@ def p1_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.clusters(spans.shared_windows(arabic_records(spark, sf_dir)))
 
 
+def p1_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.removal(spans.shared_windows(arabic_records(spark, sf_dir)))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.lookalike_pairs(lookalike.fields(spark, sf_dir))
 
@@ -81,7 +85,7 @@ def p8_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    every = p1_found, p1_report, p1_clusters, p2_found, p2_canonical, p3_found, p3_terms, p3_ngrams, p5_found, p6_fill, p6_summary, p7_found, p7_removal, p8_found, p8_sources
+    every = p1_found, p1_report, p1_clusters, p1_removal, p2_found, p2_canonical, p3_found, p3_terms, p3_ngrams, p5_found, p6_fill, p6_summary, p7_found, p7_removal, p8_found, p8_sources
     return {q.__name__: q for q in every}
 
 

@@ -5,7 +5,11 @@ and that value is its only band: a band of one row is the tuning with full recal
 equal shingles and so always the same minimum. Neighbouring paragraphs mostly share their minimum, so that a
 record sends one row for about every fourth or fifth word. Paragraphs whose bands meet another record are verified exactly
 (all words, by two independent 64-bit hashes of the whole window), and the verified ones are joined
-to maximal spans. ``clusters`` joins the records that share spans to components.
+to maximal spans. ``clusters`` joins the records that share spans to components, and ``removal`` lists what may go: of every shared
+paragraph the copy in the first record of its component stays.
+
+Verification is equality of the whole paragraph, which is a Jaccard similarity of 1 and an edit distance of 0: the problem asks
+for spans that are the same word for word.
 
 Defined results: null texts and texts of fewer than ``span`` words share nothing; a record delivered twice is one
 record; repeats inside one record alone are not shared; empty tables give no rows; extra columns of the
@@ -121,11 +125,11 @@ def clusters(windows: DataFrame, rounds: int = 50) -> DataFrame:
     nodes = edges.select("v").distinct()
     for _ in range(rounds):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u <> v")
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        large = both.join(low, "u").where("v > u").select(F.col("m").alias("u"), "v").distinct()
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("m", "u"))
+        large = salted_join(both.where("v > u"), low, ["u"], "n", "v", "inner").select(F.col("m").alias("u"), "v").distinct()
         down = large.union(large.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("v < u")
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).where("a <> b").union(least.select(F.col("m").alias("a"), F.col("u").alias("b")))
+        least = down.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = salted_join(down, least, ["u"], "n", "v", "inner").select(F.col("m").alias("a"), F.col("v").alias("b")).where("a <> b").union(least.select(F.col("m").alias("a"), F.col("u").alias("b")))
         after = write_shared(small.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "links")
         same = after.count() == edges.where("u <> v").count() and after.join(edges, ["u", "v"], "left_anti").isEmpty()
         edges = after
@@ -135,3 +139,26 @@ def clusters(windows: DataFrame, rounds: int = 50) -> DataFrame:
         raise RuntimeError(f"labels still changed after {rounds} rounds")
     label = nodes.join(edges.groupBy("v").agg(F.min("u").alias("cluster")), "v", "left").withColumn("cluster", F.coalesce("cluster", "v"))
     return label.select(F.substring_index("v", ":", 1).alias("rec_table"), F.expr("substring(v, locate(':', v) + 1)").alias("rec_key"), "cluster")
+
+
+def removal(windows: DataFrame, span: int = SPAN) -> DataFrame:
+    """(rec_table, rec_key, cluster, span_start, span_len) of the words that may be removed so that every shared paragraph stays once.
+
+    Of a paragraph the copy in its first record stays (by rec_table, then rec_key as text); the others go, but for words that
+    lie in a paragraph of which this record holds the copy that stays.
+    """
+    key = ["rec_table", "rec_key"]
+    rec = F.concat_ws(":", *key)
+    first = windows.groupBy("hash_a", "hash_b").agg(F.min(rec).alias("first"), F.count(F.lit(1)).alias("n"))
+    judged = write_shared(salted_join(windows, first, ["hash_a", "hash_b"], "n", "rec_key", "inner").withColumn("stays", rec == F.col("first")), "judged")
+
+    def edges(stays: bool, go: int, stay: int) -> DataFrame:
+        found = spans(judged.where(F.col("stays") == stays), span)
+        ends = F.array(F.struct(F.col("span_start").alias("at"), F.lit(1).alias("d")), F.struct((F.col("span_start") + F.col("span_len")).alias("at"), F.lit(-1).alias("d")))
+        return found.select(*key, F.inline(ends)).select(*key, "at", (F.col("d") * go).alias("go"), (F.col("d") * stay).alias("stay"))
+
+    both = edges(False, 1, 0).union(edges(True, 0, 1)).groupBy(*key, "at").agg(F.sum("go").alias("go"), F.sum("stay").alias("stay"))
+    order = Window.partitionBy(*key).orderBy("at")
+    swept = both.select(*key, "at", F.sum("go").over(order).alias("go"), F.sum("stay").over(order).alias("stay"), F.lead("at").over(order).alias("until"))
+    out = swept.where("go > 0 and stay = 0").select(*key, F.col("at").alias("span_start"), (F.col("until") - F.col("at")).cast("int").alias("span_len"))
+    return out.join(clusters(windows), key).select(*key, "cluster", "span_start", "span_len")

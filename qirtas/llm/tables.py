@@ -6,6 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def connect():
+    """A DuckDB connection for one Python worker: one thread, bounded memory, and what exceeds it in Spark's own local folder."""
+    import os
+    import tempfile
+
+    import duckdb
+
+    folder = (os.environ.get("SPARK_LOCAL_DIRS") or tempfile.gettempdir()).split(",")[0]
+    return duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": f"{folder}/duckdb-{os.getpid()}"})
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -38,7 +38,7 @@ def test_recovers_the_pairs(spark):
     rows, truth = corpus()
     odd = [("hadith", "n1", "ar-id", None, "a b."), ("hadith", "n2", "ar-id", "كفد.", None), ("hadith", "n3", "ar-id", " ", ""), ("hadith", None, "ar-id", "كفد", "x"), ("hadith", "n4", "ar-id", "...", "!!"), rows[0]]
     frame = spark.createDataFrame(rows + odd, SCHEMA).withColumns({"block": F.lit("x"), "concept": F.lit("y"), "score": F.lit(0)})
-    out = alignment.align(frame, block=100)
+    out = alignment.align(frame, block=20_000)
     got = [(r.rec_key, r.ar_sent, r.tr_sent) for r in out.collect()]
     assert len(got) == len(set(got))
     hit = len(set(got) & truth)
@@ -48,8 +48,8 @@ def test_recovers_the_pairs(spark):
 def test_blocks_do_not_matter(spark):
     rows, _ = corpus(150, 8)
     frame = spark.createDataFrame(rows, SCHEMA)
-    one, many = ({tuple(r)[:5] for r in alignment.align(frame, block=b).collect()} for b in (1_000, 20))
-    assert one == many
+    one, many, grouped = ({tuple(r)[:5] for r in alignment.align(frame, block=b, group=g).collect()} for b, g in ((10**6, 64), (4_000, 64), (4_000, 3)))
+    assert one == many == grouped
 
 
 def test_empty_and_long(spark):

@@ -82,3 +82,38 @@ def test_clusters_of_a_chain(spark):
 def test_other_spans(spark, span):
     rows = spark.createDataFrame([r for r in corpus() if r[1] and r[2] is not None], "rec_table string, rec_key string, text string")
     assert {tuple(r) for r in spans.shared_spans(rows, span).collect()} == brute(corpus(), span)
+
+
+def test_removal(spark):
+    """Every shared paragraph stays in one record, and only shared words go."""
+    rng = random.Random(21)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    common = [fresh(30) for _ in range(6)]
+    texts = {}
+    for r in range(40):
+        parts = [fresh(rng.randrange(0, 15))]
+        for _ in range(rng.randrange(1, 4)):
+            c = rng.choice(common)
+            a = rng.randrange(0, 12)
+            parts += [c[a : a + rng.randrange(10, 18)], fresh(rng.randrange(0, 4))]
+        texts["hadith", str(r)] = sum(parts, [])
+    rows = [(*k, " ".join(w)) for k, w in texts.items()]
+    windows = spans.shared_windows(spark.createDataFrame(rows, "rec_table string, rec_key string, text string"))
+    gone = {k: set() for k in texts}
+    for r in spans.removal(windows).collect():
+        gone[r.rec_table, r.rec_key] |= set(range(r.span_start, r.span_start + r.span_len))
+    holders = {}
+    for k, w in texts.items():
+        for i in range(len(w) - 11):
+            holders.setdefault(tuple(w[i : i + 12]), []).append((k, i))
+    shared = {p: h for p, h in holders.items() if len({k for k, _ in h}) > 1}
+    first = {p: min((k for k, _ in h), key=lambda k: ":".join(k)) for p, h in shared.items()}
+    true = {k: set() for k in texts}
+    stay = {k: set() for k in texts}
+    for p, h in shared.items():
+        for k, i in h:
+            (stay if k == first[p] else true)[k] |= set(range(i, i + 12))
+    assert gone == {k: true[k] - stay[k] for k in texts} and any(gone.values())
+    clusters = {(r.rec_table, r.rec_key): r.cluster for r in spans.clusters(windows).collect()}
+    assert all(clusters[k] for k, w in gone.items() if w)
+    assert spans.removal(windows.limit(0)).collect() == []
