@@ -3,17 +3,14 @@
 from __future__ import annotations
 
 import math
-import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from qirtas.functions.normalize import EDGES, WHITE, normalize_ar
+from qirtas.functions.normalize import WHITE, normalize_ar, trim_fragment
 
 # Where trailing remarks begin, and what ends a leading chain.
 REMARKS = "(?s)(قال أبو عيسى|وفي الباب|قال أبو داود|رواه|أخرجه|هذا حديث).*$"
@@ -25,6 +22,7 @@ STOP = "رواه|أخرجه|قال أبو|وفي الباب|هذا حديث|\\.|
 START = "قال رسول الله|قال النبي|عن النبي|أنه قال|يقول|:|«|﴾"
 NOISE = "من طريق|من حديث|في مسنده|في سننه|في صحيحه|في معجمه|إسناد|رجاله|الحافظ|برقم"
 REACH, LEAST_WORDS = 400, 5
+_CUT = "\ufdd0"  # a character that no text holds
 
 
 def clean_matn(c: Column) -> Column:
@@ -37,28 +35,34 @@ def n_words(c: Column) -> Column:
     return F.size(F.filter(F.split(c, f"{WHITE}+"), lambda w: w != ""))
 
 
-def fragments_of(text: str | None) -> list[dict[str, str]]:
-    """C12, C13, P13, N18. Labelled fragments of at least five words after or before a trigger, without those of source remarks."""
-    text = text or ""
-    out = []
+def extract_fragments(c: Column) -> Column:
+    """C12, C13, P13, N18. array<struct<label, fragment>>: trimmed pieces of at least five words after or before a trigger, without those of source remarks.
 
-    def keep(label: str, piece: str) -> None:
-        piece = piece.strip(EDGES)
-        if len(piece.split()) >= LEAST_WORDS and not re.search(NOISE, piece):
-            out.append({"label": label, "fragment": piece})
+    The text is cut at every trigger; of what follows (or precedes) ``REACH`` characters are looked at, and no more parts than could make them up.
+    """
+    text = F.coalesce(c, F.lit(""))
+    after = [_pieces(text, label, trigger, f"$0{_CUT}", _behind) for label, trigger in FORWARD]
+    before = [_pieces(text, label, trigger, f"{_CUT}$0", _ahead) for label, trigger in BACKWARD]
+    return F.concat(*after, *before)
 
-    for label, trigger in FORWARD:
-        for m in re.finditer(trigger, text):
-            keep(label, re.split(STOP, text[m.end() : m.end() + REACH], maxsplit=1)[0])
-    for label, trigger in BACKWARD:
-        for m in re.finditer(trigger, text):
-            keep(label, re.split(START, text[max(0, m.start() - REACH) : m.start()])[-1])
-    return out
+
+def _behind(parts: Column, i: Column) -> Column:
+    """What follows cut ``i``, up to where a quotation stops."""
+    near = F.substring(F.array_join(F.slice(parts, i + 2, F.lit(REACH)), ""), 1, REACH)
+    return F.get(F.split(near, STOP, 2), F.lit(0))
+
+
+def _ahead(parts: Column, i: Column) -> Column:
+    """What precedes cut ``i``, from where a quotation last starts."""
+    near = F.slice(parts, F.greatest(i + 2 - F.lit(REACH), F.lit(1)), F.least(i + 1, F.lit(REACH)))
+    return F.element_at(F.split(F.substring(F.array_join(near, ""), -REACH, REACH), START), -1)
 
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("label", T.StringType()), T.StructField("fragment", T.StringType())])))
-def extract_fragments(text: pd.Series) -> pd.Series:
-    return text.map(fragments_of)
+def _pieces(text: Column, label: str, trigger: str, cut: str, near: Callable[[Column, Column], Column]) -> Column:
+    parts = F.split(F.regexp_replace(text, trigger, cut), _CUT)
+    found = F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), lambda _, i: trim_fragment(near(parts, i)))
+    kept = F.filter(found, lambda x: (n_words(x) >= LEAST_WORDS) & ~x.rlike(NOISE))
+    return F.transform(kept, lambda x: F.struct(F.lit(label).alias("label"), x.alias("fragment")))
 
 
 # Similarity of the best window

@@ -26,6 +26,8 @@ KEY_FOLD = "إأآىة", "ااايه"
 SEARCH_FOLD = "أإآىةؤئء", "ااايهوي"
 ALEF_FOLD = "إأآ", "ااا"
 
+# Answers that mean yes.
+YES = "y", "yes"
 # What is trimmed from both ends of a fragment.
 EDGES = ' :،."«»﴾﴿'
 WHITE = "(?U)[\\s\\x{001C}-\\x{001F}]"
@@ -125,7 +127,7 @@ def range_bounds(c: Column) -> tuple[Column, Column]:
 
 def is_yes(c: Column) -> Column:
     """N17. Whether an answer means yes."""
-    return F.lower(strip(c)).isin("y", "yes")
+    return F.lower(strip(c)).isin(*YES)
 
 
 # What is trimmed from the edges of a token, written out so that it means the same in every engine.

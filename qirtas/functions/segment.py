@@ -1,42 +1,38 @@
 """Paged books to items: headings found page by page, carried over page borders, footnotes handed out in order.
 
-Finding the match offsets is the only Python; it sees one page at a time and runs before any shuffle. The rest is windows
-over (book, page, segment).
+All of it is expressions. A page is cut where a heading begins; the number carried into a page comes from a window over one small row a
+page, so that the texts are never sorted by book.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qirtas.functions.citations import footnote_entries
+from qirtas.functions.normalize import WHITE, strip, to_int
+
+_S = WHITE.removeprefix("(?U)")
+# The forms of an item's heading and of a footnote marker. Both capture the number.
+HEADING = f"(?U)(?:السؤال(?:ان)?{_S}+[^\\n]+?{_S}+من{_S}+)?(?:ال)?فتوى{_S}+رقم{_S}*\\(([٠-٩]+)\\){_S}*(?:\\(¬?[٠-٩]+\\){_S}*)?:?{_S}*(?:س|الحمد|فقد|السؤال)"
+MARKER = "\\(¬?([٠-٩]+)\\)"
+# characters that no text holds: where a heading begins, and where its number ends
+_CUT, _END = "\ufdd0", "\ufdd1"
+
 
-# The forms of an item's heading and of a footnote marker.
-HEADING = re.compile(r"(?:السؤال(?:ان)?\s+.+?\s+من\s+)?(?:ال)?فتوى\s+رقم\s*\(([٠-٩]+)\)\s*(?:\(¬?[٠-٩]+\)\s*)?:?\s*(?:س|الحمد|فقد|السؤال)")
-MARKER = re.compile(r"\(¬?([٠-٩]+)\)")
-_DIGITS = str.maketrans("٠١٢٣٤٥٦٧٨٩", "0123456789")
+def page_segments(body: Column) -> Column:
+    """array<struct<seg, heading, n_markers, text>>: what stands before the first heading (seg 0, no heading; left out where it is empty), and each
+    heading with what follows. The brackets of a heading's own number are no marker."""
+    pieces = F.split(F.regexp_replace(F.coalesce(body, F.lit("")), HEADING, f"{_CUT}$1{_END}$0"), _CUT)
 
+    def of(piece: Column, at: Column) -> Column:
+        opened = at > 0
+        text = F.when(opened, F.substring_index(piece, _END, -1)).otherwise(piece)
+        number = F.when(opened, to_int(F.substring_index(piece, _END, 1)))
+        return F.struct(at.cast("int").alias("seg"), number.alias("heading"), (F.regexp_count(text, F.lit(MARKER)) - opened.cast("int")).alias("n_markers"), text.alias("text"))
 
-def page_segments(body: str | None) -> list[tuple[int | None, int, str]]:
-    """(item number or None for the carried item, footnote markers, stripped text) of each segment of a page, in order."""
-    body = body or ""
-    heads = list(HEADING.finditer(body))
-    cuts = [h.start() for h in heads]
-    numbers = {(h.start(1) - 1, h.end(1) + 1) for h in heads}
-    parts: list[tuple[int | None, int, int]] = []
-    if not heads or cuts[0] > 0:
-        parts.append((None, 0, cuts[0] if heads else len(body)))
-    for h, end in zip(heads, [*cuts[1:], len(body)]):
-        parts.append((int(h.group(1).translate(_DIGITS)), h.start(), end))
-    out = []
-    for number, start, end in parts:
-        markers = sum(m.span() not in numbers for m in MARKER.finditer(body, start, end))
-        out.append((number, markers, body[start:end].strip()))
-    return out
+    found = F.transform(pieces, of)
+    return F.filter(found, lambda x: (x["seg"] > 0) | (x["text"] != "") | (F.size(pieces) == 1))
 
 
 def segments(pages: DataFrame) -> DataFrame:
@@ -45,25 +41,16 @@ def segments(pages: DataFrame) -> DataFrame:
     A segment without heading belongs to the last heading before it in the book. Entries are handed out in order, to each
     segment as many as it has markers; ``mismatch`` tells that the page has more or fewer entries than markers.
     """
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for book, seq, body, entries in batch.itertuples(index=False):
-                for seg, (number, markers, text) in enumerate(page_segments(body)):
-                    rows.append((book, seq, seg, number, markers, text, list(entries)))
-            frame = pd.DataFrame(rows, columns=["book", "sequence_num", "seg", "heading", "n_markers", "text", "page_entries"])
-            yield frame.astype({"heading": "Int32"})
-
-    ready = pages.select(F.col("book").cast("string").alias("book"), F.col("sequence_num").cast("long").alias("sequence_num"), "body", footnote_entries(F.col("footnotes")).alias("entries"))
-    found = ready.mapInPandas(cut, "book string, sequence_num long, seg int, heading int, n_markers int, text string, page_entries array<string>")
-    book = Window.partitionBy("book").orderBy("sequence_num", "seg")
-    page = Window.partitionBy("book", "sequence_num").orderBy("seg")
-    before = F.sum("n_markers").over(page) - F.col("n_markers")
-    total = F.sum("n_markers").over(Window.partitionBy("book", "sequence_num"))
-    rows = found.withColumns({"number": F.last("heading", ignorenulls=True).over(book), "before": before, "total": total})
-    entries = F.when(F.col("n_markers") > 0, F.slice("page_entries", F.col("before").cast("int") + 1, F.col("n_markers"))).otherwise(F.array().cast("array<string>"))
-    return rows.select("book", "sequence_num", "seg", "number", "n_markers", "text", entries.alias("entries"), (F.size("page_entries") != F.col("total")).alias("mismatch"))
+    key = ["book", "sequence_num"]
+    ready = pages.select(F.col("book").cast("string").alias("book"), F.col("sequence_num").cast("long").alias("sequence_num"), page_segments(F.col("body")).alias("segs"), footnote_entries(F.col("footnotes")).alias("notes"))
+    last = ready.groupBy(*key).agg(F.max(F.try_element_at("segs", F.lit(-1))["heading"]).alias("heading"))
+    carried = last.select(*key, F.last("heading", ignorenulls=True).over(Window.partitionBy("book").orderBy("sequence_num").rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
+    counts = F.transform("segs", lambda x: x["n_markers"])
+    total = F.aggregate(counts, F.lit(0), lambda n, x: n + x)
+    rows = ready.join(carried, key).select(*key, "carried", "notes", counts.alias("counts"), (F.size("notes") != total).alias("mismatch"), F.posexplode("segs").alias("i", "s"))
+    before = F.aggregate(F.slice("counts", F.lit(1), F.col("i")), F.lit(0), lambda n, x: n + x)
+    entries = F.when(F.col("s.n_markers") > 0, F.slice("notes", before + 1, F.col("s.n_markers"))).otherwise(F.array().cast("array<string>"))
+    return rows.select(*key, "s.seg", F.coalesce("s.heading", "carried").alias("number"), "s.n_markers", strip(F.col("s.text")).alias("text"), entries.alias("entries"), "mismatch")
 
 
 def items(found: DataFrame) -> DataFrame:

@@ -13,6 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qirtas.functions.normalize import YES
+from qirtas.operators import quality
+
 EdgeKey = tuple[str, str, str]
 
 
@@ -34,6 +37,11 @@ def _pick(rows: DataFrame, keys: Sequence[str], order: Sequence[str], by) -> Dat
     return rows.groupBy(*keys).agg(chosen).select(*keys, "_row.*").select(*rows.columns)
 
 
+def confirmed(answer: str) -> bool:
+    """N17. Whether an answer means yes."""
+    return answer.strip().lower() in YES
+
+
 @dataclass(frozen=True)
 class Graph:
     nodes: dict[str, DataFrame] = field(default_factory=dict)
@@ -76,12 +84,14 @@ class Graph:
         return both.agg(F.count(F.lit(1)).alias("given"), ok.alias("written"), (F.count(F.lit(1)) - ok).alias("dropped"))
 
     def merge_edges(self, kind: str, source: str, target: str, rows: DataFrame) -> Graph:
-        """Add edges that are not there yet; a pair of ends is one edge."""
+        """Add edges that are not there yet; a pair of ends is one edge. An existing edge keeps its properties; of several new ones the least row stands."""
         self._guard()
-        new = self.resolve(rows, source, target)
+        new = self.resolve(rows, source, target).withColumn("_new", F.lit(1))
         old = self.edges.get((kind, source, target))
-        both = new if old is None else old.unionByName(new, allowMissingColumns=True)
-        return replace(self, edges=self.edges | {(kind, source, target): both.dropDuplicates(["src_key", "dst_key"])})
+        both = new if old is None else old.withColumn("_new", F.lit(0)).unionByName(new, allowMissingColumns=True)
+        ends = ["src_key", "dst_key"]
+        kept = first_per(both, ends, ["_new", *(c for c in both.columns if c not in [*ends, "_new"])]).drop("_new")
+        return replace(self, edges=self.edges | {(kind, source, target): kept})
 
     def merge_edges_set(self, kind: str, source: str, target: str, rows: DataFrame, order: Sequence[str], keyed_by: Sequence[str] = ()) -> Graph:
         """Upsert: of edges with the same ends (and the same ``keyed_by`` properties) the last by ``order`` sets the rest."""
@@ -122,22 +132,47 @@ class Graph:
     def drop_orphans(self, label: str, by: Sequence[EdgeKey]) -> Graph:
         return self.delete_nodes(label, self.orphans(label, by).select(self.keys[label]))
 
-    def clear(self, *labels: str) -> Graph:
-        """Without the nodes of ``labels`` (of all, if none is named) and every edge that touches them."""
+    def create_under(self, label: str, rows: DataFrame, key: str, kind: str, parent: str, parent_key: str) -> Graph:
+        """Nodes and their edge to a parent in one step: rows whose ``parent_key`` is no node of ``parent`` are not written. Parent keys must be unique."""
+        ends = self._ends(parent, parent_key)
+        quality.require_unique(ends.groupBy(parent_key).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"the key of {parent}")
+        held = rows.join(ends, parent_key, "left_semi")
+        edges = held.select(F.col(key).alias("src_key"), F.col(parent_key).alias("dst_key"))
+        return self.create_nodes(label, held.drop(parent_key), key)._with_edges((kind, label, parent), edges)
+
+    def clear(self, *labels: str, answer: str | None = None) -> Graph:
+        """Without the nodes of ``labels`` (of all, if none is named) and every edge that touches them. An ``answer`` that is not yes leaves all as it is."""
         self._guard()
+        if answer is not None and not confirmed(answer):
+            return self
         gone = set(labels or self.nodes)
         return replace(self, nodes={k: v for k, v in self.nodes.items() if k not in gone}, edges={k: v for k, v in self.edges.items() if not gone & {k[1], k[2]}})
 
     # reading
 
-    def match(self, kind: str, source: str, target: str, source_columns: Sequence[str] = (), target_columns: Sequence[str] = (), edge_columns: Sequence[str] = ()) -> DataFrame:
-        """One hop: src_key, dst_key, the edge's columns, and those of both ends as s_... and t_..."""
+    def match(self, kind: str, source: str, target: str, source_columns: Sequence[str] = (), target_columns: Sequence[str] = (), edge_columns: Sequence[str] = (), source_where: dict | None = None, target_where: dict | None = None) -> DataFrame:
+        """One hop: src_key, dst_key, the edge's columns, and those of both ends as s_... and t_...; ends may be bound to property values."""
         rows = self.edges[kind, source, target].select("src_key", "dst_key", *edge_columns)
-        for label, name, prefix, wanted in ((source, "src_key", "s_", source_columns), (target, "dst_key", "t_", target_columns)):
-            end = self.nodes[label].select(F.col(self.keys[label]).alias(name), *(F.col(c).alias(prefix + c) for c in wanted))
+        for label, name, prefix, wanted, equal in ((source, "src_key", "s_", source_columns, source_where), (target, "dst_key", "t_", target_columns, target_where)):
+            end = self.nodes_where(label, **(equal or {})).select(F.col(self.keys[label]).alias(name), *(F.col(c).alias(prefix + c) for c in wanted))
             rows = rows.join(end, name)
         return rows
 
+    def nodes_where(self, label: str, **equal) -> DataFrame:
+        """Nodes whose properties have the given values."""
+        rows = self.nodes[label]
+        for name, value in equal.items():
+            rows = rows.where(F.col(name) == F.lit(value))
+        return rows
+
+    def star(self, *hops: EdgeKey) -> DataFrame:
+        """Several patterns that share a node: (k, k0, k1, ...), the source of all hops and the target of each."""
+        rows = None
+        for i, hop in enumerate(hops):
+            part = self.edges[hop].select(F.col("src_key").alias("k"), F.col("dst_key").alias(f"k{i}"))
+            rows = part if rows is None else rows.join(part, "k")
+        return rows
+
     def chain(self, *hops: EdgeKey) -> DataFrame:
         """Several hops head to tail: the keys k0, k1, ... of every path."""
         rows = self.edges[hops[0]].select(F.col("src_key").alias("k0"), F.col("dst_key").alias("k1"))
@@ -161,6 +196,21 @@ class Graph:
         rows = rows.withColumns({k: F.lit(v) for k, v in constants.items()}) if constants else rows
         return replace(self, edges={k: v for k, v in self.edges.items() if k != (kind, source, target)} | {(new_kind, source, target): rows})
 
+    def rename_properties(self, label: str, names: dict[str, str], **constants) -> Graph:
+        """A label's nodes with other names of properties, and with constant ones."""
+        rows = self.nodes[label].withColumnsRenamed(names)
+        rows = rows.withColumns({k: F.lit(v) for k, v in constants.items()}) if constants else rows
+        return replace(self, nodes=self.nodes | {label: rows}, keys=self.keys | {label: names.get(self.keys[label], self.keys[label])})
+
+    def copy_from(self, other: Graph, labels: Sequence[str], edges: Sequence[EdgeKey] = ()) -> Graph:
+        """Nodes and edges of another graph, one to one; edges are matched with the nodes that are here."""
+        out = self
+        for label in labels:
+            out = out.create_nodes(label, other.nodes[label], other.keys[label])
+        for key in edges:
+            out = out.create_edges(*key, other.edges[key])
+        return out
+
     def counts(self) -> DataFrame:
         """(what, name, n): one row a label and an edge type with its labels."""
         parts = [rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit("node").alias("what"), F.lit(label).alias("name"), "n") for label, rows in self.nodes.items()]
@@ -169,9 +219,10 @@ class Graph:
 
     # files
 
-    def save(self, path: str, overwrite: bool = False, records_per_file: int = 0) -> None:
-        """Write every table below ``path``; an existing graph is replaced only with ``overwrite``."""
+    def save(self, path: str, overwrite: bool = False, records_per_file: int = 0, answer: str | None = None) -> None:
+        """Write every table below ``path``; an existing graph is replaced only with ``overwrite``, or with an ``answer`` that means yes."""
         self._guard()
+        overwrite = overwrite or (answer is not None and confirmed(answer))
         for name, rows in [*((f"nodes/{k}", v) for k, v in self.nodes.items()), *((f"edges/{'-'.join(k)}", v) for k, v in self.edges.items())]:
             writer = rows.write.mode("overwrite" if overwrite else "error")
             (writer.option("maxRecordsPerFile", records_per_file) if records_per_file else writer).parquet(f"{path}/{name}")

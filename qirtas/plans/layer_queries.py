@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +11,7 @@ from qirtas.operators.joins import not_seen
 from qirtas.plans import layers
 from qirtas.plans.register import Register, table
 from qirtas.plans.text_queries import _pages
-from qirtas.shared import shared_dir, write_shared
+from qirtas.shared import shared_path, write_shared
 from qirtas.streaming import ingest as streams
 
 register = Register()
@@ -125,7 +123,7 @@ def b16_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, user_id, event_type, value FROM events WHERE value IS NOT NULL AND value >= 0")
 def t01_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a file stream, each id once, bad values to quarantine; run twice, the second run finds nothing new."""
-    base = f"{shared_dir(spark)}/qirtas-ingest-{uuid.uuid4().hex}"
+    base = shared_path(spark, "ingest")
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     for _ in range(2):

@@ -93,7 +93,7 @@ def n11_brace_and_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", n.squeeze(n.drop_brace_numbers(made)).alias("unbraced"), n.drop_reference_prefix(F.col("text")).alias("unprefixed"))
 
 
-@query("SELECT item_id, regexp_replace(text, '^[ :،.\"''«»﴿﴾]+|[ :،.\"''«»﴿﴾]+$', '', 'g') AS fragment FROM eval_item")
+@query(f"SELECT item_id, regexp_replace(text, '^[{n.EDGES}]+|[{n.EDGES}]+$', '', 'g') AS fragment FROM eval_item")
 def n18_trim_fragment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "eval_item").select("item_id", n.trim_fragment(F.col("text")).alias("fragment"))
 

@@ -29,13 +29,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 def write_shared(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of it. Removed when the driver ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/qirtas-{name}-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder. What is written there is removed when the driver ends."""
+    path = f"{shared_dir(spark)}/qirtas-{name}-{uuid.uuid4().hex}"
     if not _written:
         atexit.register(_remove)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 def _remove() -> None:
@@ -43,5 +48,5 @@ def _remove() -> None:
         try:
             hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-        except Exception:  # noqa: BLE001 - the session may already be gone
-            return
+        except Exception:  # noqa: BLE001 - the session may already be gone, or this path; the others still count
+            continue

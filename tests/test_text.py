@@ -52,11 +52,20 @@ def test_html(spark):
         assert (other.t, other.l, other.n, other.c, other.r) == (None, 1, "tema 4", [], [])
 
 
-def test_fragments():
-    text = "x قال رسول الله : من صام يوما في سبيل الله. رواه مسلم"
-    assert {"label": "QALA_RASUL", "fragment": "من صام يوما في سبيل الله"} in fragments.fragments_of(text)
-    assert fragments.fragments_of("قال النبي أربع كلمات فقط هنا من طريق") == []
-    assert fragments.fragments_of(None) == []
+def test_fragments(spark):
+    long = "كلمة " * 200
+    texts = [
+        "x قال رسول الله : من صام يوما في سبيل الله. رواه مسلم", "قال النبي أربع كلمات فقط هنا من طريق", None, "",
+        "قال النبي واحد اثنان قال النبي ثلاثة أربعة خمسة ستة سبعة رواه فلان", f"قال رسول الله {long}", f"{long} أخرجه فلان",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", fragments.extract_fragments(F.col("t")).alias("f")).collect()
+    got = {r.i: [tuple(x) for x in r.f] for r in rows}
+    assert ("QALA_RASUL", "من صام يوما في سبيل الله") in got[0]
+    assert got[1] == got[2] == got[3] == []
+    # the first trigger reaches over the second
+    assert [x for x in got[4] if x[0] == "QALA_NABI"] == [("QALA_NABI", "واحد اثنان قال النبي ثلاثة أربعة خمسة ستة سبعة"), ("QALA_NABI", "ثلاثة أربعة خمسة ستة سبعة")]
+    assert got[5] == [("QALA_RASUL", f" {long}"[:400].strip())]
+    assert got[6] == [("AKHRAJA", f"{long} "[-400:].strip())]
 
 
 def brute_ratio(a, b):
