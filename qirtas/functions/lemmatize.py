@@ -9,15 +9,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 Lemmatizer = Callable[[str], list[str]]
-_PROCLITIC = re.compile("^(?:[وف])?(?:[بكل])?(?:ال)?")
-_ENCLITIC = re.compile("(?:هما|كما|هم|كم|هن|نا|ها|ه|ك|ي|ون|ين|ات|ان)$")
+PROCLITIC = "^(?:[وف])?(?:[بكل])?(?:ال)?"
+ENCLITIC = "(?:هما|كما|هم|كم|هن|نا|ها|ه|ك|ي|ون|ين|ات|ان)$"
+MARKS = "[\u064b-\u065f\u0670\u0640]"  # vowel signs and tatweel
 
 
 def affix_stripper(word: str) -> list[str]:
     """Candidates from most to least stripped, each of three letters or more, the word itself last."""
-    bare = re.sub("[ً-ٰٟـ]", "", word)
-    stem = _PROCLITIC.sub("", bare)
-    out = [x for x in (_ENCLITIC.sub("", stem), stem) if len(x) >= 3]
+    bare = re.sub(MARKS, "", word)
+    stem = re.sub(PROCLITIC, "", bare)
+    out = [x for x in (re.sub(ENCLITIC, "", stem), stem) if len(x) >= 3]
     return list(dict.fromkeys([*out, bare])) if bare else []
 
 

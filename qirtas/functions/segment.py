@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 from qirtas.functions.citations import footnote_entries
 from qirtas.functions.normalize import WHITE, strip, to_int
 
-_S = WHITE.removeprefix("(?U)")
 # The forms of an item's heading and of a footnote marker. Both capture the number.
-HEADING = f"(?U)(?:السؤال(?:ان)?{_S}+[^\\n]+?{_S}+من{_S}+)?(?:ال)?فتوى{_S}+رقم{_S}*\\(([٠-٩]+)\\){_S}*(?:\\(¬?[٠-٩]+\\){_S}*)?:?{_S}*(?:س|الحمد|فقد|السؤال)"
+def heading(white: str) -> str:
+    """The pattern of a heading, with a class of white space."""
+    return f"(?:السؤال(?:ان)?{white}+[^\\n]+?{white}+من{white}+)?(?:ال)?فتوى{white}+رقم{white}*\\(([٠-٩]+)\\){white}*(?:\\(¬?[٠-٩]+\\){white}*)?:?{white}*(?:س|الحمد|فقد|السؤال)"
+
+
+HEADING = heading(WHITE)
 MARKER = "\\(¬?([٠-٩]+)\\)"
 # characters that no text holds: where a heading begins, and where its number ends
 _CUT, _END = "\ufdd0", "\ufdd1"

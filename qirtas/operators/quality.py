@@ -46,6 +46,12 @@ def ratio(rows: DataFrame, condition: Column, by: Sequence[str] = ()) -> DataFra
     return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("total"), hits.alias("hits"), F.round(hits / F.count(F.lit(1)), 6).alias("part"))
 
 
+def missing_properties(rows: DataFrame, properties: Sequence[str]) -> DataFrame:
+    """D07. (property, n, n_missing): how many rows lack a property that each must have."""
+    counts = rows.agg(F.count(F.lit(1)).alias("n"), *(F.count_if(F.col(p).isNull()).alias(p) for p in properties))
+    return counts.select("n", F.inline(F.array(*(F.struct(F.lit(p).alias("property"), F.col(p).alias("n_missing")) for p in properties)))).select("property", "n", "n_missing")
+
+
 def require_rows(tables: dict[str, DataFrame]) -> None:
     """D09. Raise unless every table has a row."""
     if empty := [name for name, rows in tables.items() if rows.isEmpty()]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from qirtas.functions.normalize import dedup_key, strip_homonym_suffix
-from qirtas.graph import first_per
+from qirtas.graph import first_per, last_per
 from qirtas.shared import write_shared
 
 
@@ -76,6 +76,16 @@ def _ranked(sources: Sequence[DataFrame], *columns: str) -> DataFrame:
     return out
 
 
+def inferred_edges(lemma_words: DataFrame, root_words: DataFrame, place: str, order: Sequence[str], to_lemma: DataFrame, to_root: DataFrame) -> DataFrame:
+    """E04, J13. (lemma_id, root_id, votes, n_values): the root that stands most often with a lemma.
+
+    lemma_words and root_words (place, old_id, order...) give one lemma and one root a place, the last of each; to_lemma and to_root map old ids.
+    """
+    lemmas = last_per(lemma_words, [place], order).select(place, "old_id").join(to_lemma, "old_id").select(place, "lemma_id")
+    roots = last_per(root_words, [place], order).select(place, "old_id").join(to_root, "old_id").select(place, "root_id")
+    return majority(lemmas.join(roots, place), "lemma_id", "root_id", place)
+
+
 def majority(rows: DataFrame, key: str, value: str, first: str) -> DataFrame:
     """A05, E04. (key, value, votes, n_values): the most frequent value of a key; of equals the one met first by ``first``, then the least."""
     votes = rows.groupBy(key, value).agg(F.count(F.lit(1)).alias("votes"), F.min(first).alias("_first"))

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qirtas.functions.citations import COLLECTIONS
+from qirtas.functions.fragments import STOP
 from qirtas.graph import Graph
 from qirtas.operators.joins import not_seen
 from qirtas.plans import layers
 from qirtas.plans.register import Register, table
 from qirtas.plans.text_queries import _pages
 from qirtas.shared import shared_path, write_shared
+from qirtas.sources.files import seen_keys
 from qirtas.streaming import ingest as streams
 
 register = Register()
@@ -115,9 +117,12 @@ def b13_opinion_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def b16_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Commentary fragments after and before triggers, against every hadith text."""
-    tafsir, hadith = (layers.first_delivery(table(spark, sf_dir, n), k) for n, k in (("tafsir", "tafsir_id"), ("hadith", "hadith_id")))
-    return layers.candidate_links(tafsir, hadith.select("hadith_id", F.col("arabic_matn").alias("matn")))
+    """Commentaries that quote a hadith behind a trigger, searched in every hadith text. The search takes the links whose link_id is divisible by 100."""
+    hadith = layers.first_delivery(table(spark, sf_dir, "hadith"), "hadith_id").where("arabic_matn is not null")
+    asked = table(spark, sf_dir, "related_hadith").where("link_id % 100 = 0").join(hadith.select("hadith_id", "arabic_matn"), "hadith_id")
+    quoted = F.concat(F.lit("قال النبي "), F.regexp_replace("arabic_matn", STOP, " "))
+    quoting = asked.select(F.concat_ws("/", "tafsir_id", F.col("link_id").cast("string")).alias("tafsir_id"), quoted.alias("text_arabic"))
+    return layers.candidate_links(quoting, hadith.select("hadith_id", F.col("arabic_matn").alias("matn")))
 
 
 @query("SELECT event_id, user_id, event_type, value FROM events WHERE value IS NOT NULL AND value >= 0")
@@ -138,14 +143,18 @@ def t02_seen_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("n_distinct"))
 
 
-@query()
+@query(
+    "WITH e AS (SELECT user_id, event_type, event_id <= (SELECT (min(event_id) + max(event_id)) / 2 FROM events WHERE user_id IS NOT NULL) AS early FROM events WHERE user_id IS NOT NULL) "
+    "SELECT DISTINCT user_id, event_type FROM e l WHERE NOT early AND NOT EXISTS (SELECT 1 FROM e s WHERE s.early AND s.user_id = l.user_id AND s.event_type = l.event_type)"
+)
 def s06_unseen_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users of the later half of the events (by event_id) that no earlier event has, once each."""
+    """Kinds of events of a user in the later half of the events (by event_id) that no earlier event of the user has, once each."""
     events = table(spark, sf_dir, "events").where("user_id is not null")
     half = events.agg(((F.min("event_id") + F.max("event_id")) / 2).alias("half"))
-    halves = events.join(F.broadcast(half)).select("event_id", "user_id", (F.col("event_id") <= F.col("half")).alias("early"))
-    seen = write_shared(halves.where("early").select("user_id").distinct(), "seen")
-    return not_seen(halves.where("not early").select("user_id"), seen, ["user_id"])
+    key = ["user_id", "event_type"]
+    halves = events.join(F.broadcast(half)).select(*key, (F.col("event_id") <= F.col("half")).alias("early"))  # one row
+    seen = write_shared(seen_keys(halves.where("early"), *key), "seen")
+    return not_seen(halves.where("not early").select(*key), seen, key)
 
 
 @query("WITH p AS (SELECT o_custkey AS unit, CAST(o_orderkey % 5 + 1 AS INT) AS page, o_orderpriority AS key FROM orders), f AS (SELECT unit, key, min(page) AS page FROM p GROUP BY 1, 2), g AS (SELECT DISTINCT unit, page FROM f), r AS (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY page) AS k FROM g), l AS (SELECT unit, count(*) FILTER (page = k) AS last FROM r GROUP BY unit) SELECT unit, key, page FROM f JOIN l USING (unit) WHERE page <= last")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from qirtas.plans import graph_queries, layer_queries, orphans, text_queries
+from qirtas.plans import corpus_queries, graph_queries, layer_queries, orphans, text_queries
 from qirtas.plans.register import Query
 
-_PARTS = text_queries.register, graph_queries.register, layer_queries.register
+_PARTS = text_queries.register, graph_queries.register, layer_queries.register, corpus_queries.register
 
 
 def queries() -> dict[str, Query]:

@@ -141,11 +141,15 @@ def c02_classify_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("hadith_id", "loaded_at", "c", "k.category", "k.collection", "k.number", F.col("v.name").alias("verse_name"), "v.verse")
 
 
+def _entries(x: str) -> str:
+    bare = _strip("regexp_replace(x, '^\\(\\x{00AC}?[\\x{0660}-\\x{0669}]+\\)\\s*', '')")
+    return f"list_transform(list_filter(list_transform(string_split({x}, chr(13)), lambda x: {_strip('x')}), lambda x: x <> ''), lambda x: {bare})"
+
+
 @query(
-    "SELECT doc_id, CAST(len(e) AS INT) AS n_entries, array_to_string(e, '|') AS entries FROM (SELECT doc_id, list_transform(list_filter(list_transform(string_split('(١) ' || coalesce(text, '') || chr(13) || ' ' || chr(13) || '(¬٢)  ' || source || chr(13) || 'x (٣)', chr(13)), "
-    + f"lambda x: {_strip('x')}), lambda x: x <> ''), lambda x: "
-    + _strip("regexp_replace(x, '^\\(\\x{00AC}?[\\x{0660}-\\x{0669}]+\\)\\s*', '')")
-    + ") AS e FROM documents WHERE source IS NOT NULL)"
+    "SELECT doc_id, CAST(len(e) AS INT) AS n_entries, array_to_string(e, '|') AS entries FROM (SELECT doc_id, "
+    + _entries("'(١) ' || coalesce(text, '') || chr(13) || ' ' || chr(13) || '(¬٢)  ' || source || chr(13) || 'x (٣)'")
+    + " AS e FROM documents WHERE source IS NOT NULL)"
 )
 def c04_footnote_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = F.concat(F.lit("(١) "), F.coalesce("text", F.lit("")), F.lit("\r \r(¬٢)  "), "source", F.lit("\rx (٣)"))
@@ -176,14 +180,39 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where("source is not null").select(F.col("source").alias("book"), F.col("doc_id").alias("sequence_num"), body.alias("body"), notes.alias("footnotes"))
 
 
-@query()
+_CUT, _END = "chr(64976)", "chr(64977)"
+_SEGMENTS = f"""
+WITH numbered AS (
+  SELECT *, translate(CAST(doc_id % 50 + 1 AS VARCHAR), '0123456789', '{n.ARABIC_DIGITS}') AS number FROM documents WHERE source IS NOT NULL
+), pages AS (
+  SELECT source AS book, doc_id AS sequence_num, {_entries("'(١) رواه مسلم (' || number || ')' || chr(13) || '(٢) سورة البقرة الآية ٥'")} AS e,
+    'مقدمة (١) ' || CASE WHEN doc_id % 3 = 0 THEN 'الفتوى رقم (' || number || ') س ' ELSE '' END || coalesce(text, '') || CASE WHEN doc_id % 2 = 0 THEN ' (٢) ' ELSE '' END AS body FROM numbered
+), pieces AS (
+  SELECT book, sequence_num, e, string_split(regexp_replace(body, '{segment.heading(_WHITE)}', {_CUT} || '\\1' || {_END} || '\\0', 'g'), {_CUT}) AS p FROM pages
+), parts AS (
+  SELECT book, sequence_num, e, k, CASE WHEN k > 1 THEN CAST(translate(split_part(p[k], {_END}, 1), '{n.ARABIC_DIGITS}', '0123456789') AS INT) END AS heading,
+    CASE WHEN k > 1 THEN split_part(p[k], {_END}, 2) ELSE p[k] END AS text, len(p) AS n FROM (SELECT *, unnest(range(1, len(p) + 1)) AS k FROM pieces)
+), marked AS (
+  SELECT *, len(regexp_extract_all(text, '{segment.MARKER}')) - CAST(k > 1 AS INT) AS n_markers FROM parts WHERE k > 1 OR text <> '' OR n = 1
+), segs AS (
+  SELECT *, last_value(heading IGNORE NULLS) OVER (PARTITION BY book ORDER BY sequence_num, k ROWS UNBOUNDED PRECEDING) AS number,
+    CAST(sum(n_markers) OVER (PARTITION BY book, sequence_num ORDER BY k ROWS UNBOUNDED PRECEDING) AS INT) AS upto, sum(n_markers) OVER (PARTITION BY book, sequence_num) AS total FROM marked
+), handed AS (
+  SELECT book, sequence_num, k, number, {_strip('text')} AS text, len(e) <> total AS mismatch, CASE WHEN n_markers > 0 THEN e[upto - n_markers + 1 : upto] ELSE [] END AS entries FROM segs
+), items AS (
+  SELECT book || ':' || number AS item_id, book, number, coalesce(string_agg(text, chr(10) ORDER BY sequence_num, k) FILTER (text <> ''), '') AS text,
+    flatten(list(entries ORDER BY sequence_num, k)) AS entries, arg_min(sequence_num, (sequence_num, k)) AS first_page FROM handed WHERE number IS NOT NULL GROUP BY book, number
+)"""
+
+
+@query(_SEGMENTS + " SELECT item_id, book, number, text, array_to_string(entries, '|') AS entries, CAST(len(entries) AS INT) AS n_entries, first_page FROM items")
 def c07_segment_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C05-C08, O03-O05, O14, A07, A13."""
+    """C05-C08, O03-O05, O14, A07, A13, T05."""
     found = segment.items(segment.segments(_pages(spark, sf_dir)))
     return found.withColumn("entries", F.array_join("entries", "|"))
 
 
-@query()
+@query(_SEGMENTS + " SELECT book, count(*) AS n_pages, count_if(mismatch) AS n_mismatch FROM (SELECT DISTINCT book, sequence_num, mismatch FROM handed) GROUP BY book")
 def a14_page_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = segment.segments(_pages(spark, sf_dir)).select("book", "sequence_num", "mismatch").distinct()
     return pages.groupBy("book").agg(F.count(F.lit(1)).alias("n_pages"), F.count_if("mismatch").alias("n_mismatch"))
@@ -194,7 +223,24 @@ def c11_clean_matn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "hadith").select("hadith_id", "loaded_at", fragments.clean_matn(F.col("arabic_full")).alias("cleaned"))
 
 
-@query()
+def _fragment(forward: bool, label: str, trigger: str) -> str:
+    """One arm of the fragments of ``made``: cut at every trigger, then what follows (or precedes) each cut."""
+    cut = f"'\\0' || {_CUT}" if forward else f"{_CUT} || '\\0'"
+    near = f"left(array_to_string(p[k + 1 :], ''), {fragments.REACH})" if forward else f"right(array_to_string(p[: k], ''), {fragments.REACH})"
+    piece = f"regexp_split_to_array({near}, '{fragments.STOP}')[1]" if forward else f"regexp_split_to_array({near}, '{fragments.START}')[-1]"
+    return (
+        f"SELECT tafsir_id, loaded_at, '{label}' AS label, regexp_replace({piece}, '^[{n.EDGES}]+|[{n.EDGES}]+$', '', 'g') AS fragment "
+        f"FROM (SELECT *, unnest(range(1, len(p))) AS k FROM (SELECT tafsir_id, loaded_at, string_split(regexp_replace(made, '{trigger}', {cut}, 'g'), {_CUT}) AS p FROM made))"
+    )
+
+
+_FRAGMENTS = " UNION ALL ".join([*(_fragment(True, *x) for x in fragments.FORWARD), *(_fragment(False, *x) for x in fragments.BACKWARD)])
+
+
+@query(
+    "WITH made AS (SELECT tafsir_id, loaded_at, 'قال رسول الله ' || text_arabic || ' رواه مسلم في صحيحه' AS made FROM tafsir WHERE text_arabic IS NOT NULL) "
+    f"SELECT * FROM ({_FRAGMENTS}) WHERE len(list_filter(regexp_split_to_array(fragment, '{_WHITE}+'), lambda w: w <> '')) >= {fragments.LEAST_WORDS} AND NOT regexp_matches(fragment, '{fragments.NOISE}')"
+)
 def c12_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C12, C13, P12, P13, N18."""
     made = F.concat(F.lit("قال رسول الله "), "text_arabic", F.lit(" رواه مسلم في صحيحه"))
@@ -211,7 +257,14 @@ def j14_fuzzy_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fragments.fuzzy_top(keep(items), keep(corpus)).withColumn("score", F.round("score", 1))
 
 
-@query()
+_LEMMAS = (
+    "WITH w AS (SELECT DISTINCT surface_norm FROM word_occurrence WHERE surface_norm IS NOT NULL), bares AS (SELECT surface_norm, regexp_replace(surface_norm, '[\\x{064B}-\\x{065F}\\x{0670}\\x{0640}]', '', 'g') AS bare FROM w), "
+    f"stripped AS (SELECT *, regexp_replace(bare, '{lemmatize.PROCLITIC}', '') AS stem FROM bares), stems AS (SELECT *, list_filter([regexp_replace(stem, '{lemmatize.ENCLITIC}', ''), stem], lambda x: length(x) >= 3) AS cut FROM stripped), "
+    "lemmas AS (SELECT surface_norm, CASE WHEN bare <> '' THEN coalesce(cut[1], bare) END AS lemma, CAST(CASE WHEN bare <> '' THEN len(list_distinct(cut || [bare])) ELSE 0 END AS INT) AS n_candidates FROM stems) "
+)
+
+
+@query(_LEMMAS + "SELECT * FROM lemmas")
 def x01_lemmatize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X01, O12."""
     found = lemmatize.lemmatize(table(spark, sf_dir, "word_occurrence"), "surface_norm")

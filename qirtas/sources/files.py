@@ -31,6 +31,11 @@ def read_progress(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(strip(F.col("value")).alias("key")).where("key <> ''").distinct()
 
 
+def mark_done(units: DataFrame, path: str) -> None:
+    """W09. Add the units (one string column) to a progress log, one a line."""
+    units.write.mode("append").text(path)
+
+
 def decode_scalar(c: Column) -> Column:
     """S09. A scalar that was sent as JSON: strings lose their quotes, null and the empty string become null, what is no JSON stays as it is."""
     decoded = F.when(c.rlike('^".*"$'), F.from_json(F.concat(F.lit('{"v":'), c, F.lit("}")), "v string")["v"])
@@ -51,8 +56,10 @@ def catalog_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return out
 
 
-def append_csv(rows: DataFrame, path: str) -> None:
-    """W06, W07. Add rows to a folder of CSV files, each with its header."""
+def append_csv(rows: DataFrame, path: str, mark: bool = True) -> None:
+    """W06, W07. Add rows to a folder of CSV files, each with its header and, with ``mark``, a byte order mark before it."""
+    first, *rest = rows.columns
+    rows = rows.toDF("\ufeff" + first, *rest) if mark else rows
     rows.write.mode("append").option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 

@@ -41,6 +41,12 @@ def completed_units(rows: DataFrame, unit: str, loaded: str = "loaded") -> DataF
     return rows.groupBy(unit).agg(F.bool_and(loaded).alias("completed"), F.count(F.lit(1)).alias("n"))
 
 
+def until_last_page(pages: DataFrame, unit: str, page: str, last: str) -> DataFrame:
+    """H06. Pages of a unit up to the greatest last page that their navigation (column ``last``) names."""
+    named = pages.groupBy(unit).agg(F.max(last).alias("_last"))
+    return pages.join(named, unit).where(F.col(page) <= F.col("_last")).drop("_last")
+
+
 def until_nothing_new(pages: DataFrame, unit: str, page: str, key: str) -> DataFrame:
     """H05. Rows (unit, page, key) of pages before the first one of a unit that brings no key unseen on earlier pages, or is not there; first sight of a key only."""
     first = pages.where(F.col(key).isNotNull() & (F.col(key) != "")).groupBy(unit, key).agg(F.min(page).alias(page))

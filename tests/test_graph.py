@@ -135,3 +135,31 @@ def test_quality(spark):
     names = frame(spark, [("إ",), ("أ",)], "name string")
     with pytest.raises(ValueError):
         quality.require_unique(joins.fold_collisions(names, "name", lambda c: F.translate(c, "إأ", "اا")), "folded name")
+
+
+def test_merge_keeps_what_is_there(graph, spark):
+    rows = frame(spark, [(1, 10, "new"), (1, 10, "other"), (3, 20, "b"), (3, 20, "a")], "src_key int, dst_key int, v string")
+    g = Graph(graph.nodes, {("M", "A", "B"): frame(spark, [(1, 10, "old")], "src_key int, dst_key int, v string")}, graph.keys)
+    assert {tuple(r) for r in g.merge_edges("M", "A", "B", rows).edges["M", "A", "B"].collect()} == {(1, 10, "old"), (3, 20, "a")}
+
+
+def test_create_under_star_and_answers(graph, spark):
+    rows = frame(spark, [(7, 1, "p"), (8, 9, "q")], "c int, parent int, v string")
+    g = graph.create_under("C", rows, "c", "UNDER", "A", "parent")
+    assert [tuple(r) for r in g.nodes["C"].collect()] == [(7, "p")] and [tuple(r) for r in g.edges["UNDER", "C", "A"].collect()] == [(7, 1)]
+    with pytest.raises(ValueError):
+        Graph().create_nodes("A", frame(spark, [(1,), (1,)], "a int"), "a").create_under("C", rows, "c", "UNDER", "A", "parent")
+    assert {tuple(r) for r in graph.star(("E", "A", "B"), ("E", "A", "B")).collect()} == {(1, 10, 10), (2, 10, 10), (2, 10, 20), (2, 20, 10), (2, 20, 20)}
+    assert graph.clear("B", answer="n") is graph and "B" not in graph.clear("B", answer=" YES ").nodes
+    assert graph.match("E", "A", "B", ["name"], source_where={"name": "x"}).count() == 1
+    assert Graph().copy_from(graph, ["A", "B"], [("E", "A", "B")]).edges["E", "A", "B"].count() == 3
+    assert graph.rename_properties("A", {"a": "id"}, kind="k").keys["A"] == "id"
+
+
+def test_hot_keys_beyond_the_bound(spark, monkeypatch):
+    from qirtas.operators import skew
+
+    monkeypatch.setattr(skew, "MOST", 1)
+    probe = frame(spark, [(k, i) for i in range(60) for k in "aabbc"], "k string, i int")
+    keys = frame(spark, [("a", 120), ("b", 120), ("c", 60)], "k string, n long")
+    assert salted_join(probe, keys, ["k"], "n", "i", "inner", heavy=100, salts=4).count() == 300

@@ -109,6 +109,28 @@ def test_commentary_counts_read_the_whole_table(spark, tmp_path):
 
 
 def test_unseen_keys(spark, tmp_path):
-    rows = [(0, 1), (1, 2), (2, 2), (7, 2), (8, 3), (9, 3), (10, 4), (6, None)]
-    spark.createDataFrame(rows, "event_id long, user_id long").write.parquet(f"{tmp_path}/events.parquet")
-    assert sorted(r.user_id for r in layer_queries.s06_unseen_keys(spark, str(tmp_path)).collect()) == [3, 4]
+    rows = [(0, 1, "a"), (1, 2, "a"), (2, 2, "a"), (7, 2, "a"), (8, 3, "a"), (9, 3, "a"), (10, 4, "a"), (6, None, "a"), (8, 2, "b"), (9, 1, None)]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    assert {tuple(r) for r in layer_queries.s06_unseen_keys(spark, str(tmp_path)).collect()} == {(3, "a"), (4, "a"), (2, "b"), (1, None)}
+
+
+def test_quoted_candidates(spark, tmp_path):
+    """Quotations of hadith texts find those texts, with the best score first."""
+    from qirtas.functions import fragments
+
+    texts = ["من صام رمضان ايمانا واحتسابا غفر له ما تقدم من ذنبه", "الدين النصيحة قلنا لمن قال لله ولكتابه ولرسوله", "من صام رمضان ايمانا واحتسابا غفر له كل ما تقدم", None]
+    spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "hadith_id long, arabic_matn string").selectExpr("*", "current_timestamp() AS loaded_at").write.parquet(f"{tmp_path}/hadith.parquet")
+    spark.createDataFrame([(100, "t1", 0), (200, "t2", 1), (300, "t3", 3), (301, "t1", 1)], "link_id long, tafsir_id string, hadith_id long").write.parquet(f"{tmp_path}/related_hadith.parquet")
+    got = {(r.tafsir_id, r.hadith_id): (r.score, r["rank"]) for r in layer_queries.b16_candidates(spark, str(tmp_path)).collect()}
+    assert set(got) == {("t1/100", 0), ("t1/100", 2), ("t2/200", 1)}
+    assert got["t1/100", 0] == (100.0, 1) and got["t1/100", 2] == (round(fragments.partial_ratio(texts[0], texts[2]), 1), 2)
+
+
+def test_inferred_edges(spark):
+    from qirtas.operators import resolve
+
+    words = spark.createDataFrame([("p1", 1, 1), ("p1", 2, 2), ("p2", 2, 1), ("p3", 2, 1), ("p4", 9, 1)], "place string, old_id long, at int")
+    roots = spark.createDataFrame([("p1", 5, 1), ("p2", 6, 1), ("p3", 6, 1), ("p3", 5, 0), ("p5", 6, 1)], "place string, old_id long, at int")
+    to = lambda rows, name: spark.createDataFrame(rows, f"old_id long, {name} long")
+    got = resolve.inferred_edges(words, roots, "place", ["at"], to([(1, 10), (2, 20)], "lemma_id"), to([(5, 50), (6, 60)], "root_id")).collect()
+    assert [tuple(r) for r in got] == [(20, 60, 2, 2)]
