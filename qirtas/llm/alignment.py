@@ -34,7 +34,7 @@ from qirtas.llm.vectors import as_array, list_array, words_of
 from qirtas.operators.skew import salted_join
 from qirtas.shared import write_shared
 
-CONCEPTS, BLOCK, MERGED, LEAST = 256, 8_000_000, 3, 0.25
+CONCEPTS, BLOCK, MERGED, LEAST = 256, 2_500_000, 3, 0.25
 KEPT, STRONG, GROUP = 128, 128, 64
 ENDS = re.compile("[.!?؟\n]")
 _PREFIX = re.compile("^(?:[وب](?=..[^ ]))?(?:ال(?=...))?")
@@ -154,7 +154,8 @@ def _added(rows: DataFrame, key: list[str], concepts: int, schema: str, make: Ca
 
 
 def _represented(words: DataFrame, sizes: dict[tuple[str, int], int], concepts: int, kept: int, blocks: int, group: int = GROUP) -> DataFrame:
-    """(block, lang_pair, side, word, weight, at, vector): the strongest concepts of every word, once for each block that holds it."""
+    """(block, lang_pair, side, word, weight, among, vector): the strongest concepts of every word (one bit a concept, one byte for
+    each that is kept), once for each block that holds it."""
     totals = {pair: np.zeros(concepts) for pair, _ in sizes}
     for (pair, concept), n in sizes.items():
         totals[pair][concept] = n
@@ -167,12 +168,13 @@ def _represented(words: DataFrame, sizes: dict[tuple[str, int], int], concepts:
         top = np.abs(rest).max()
         if top <= 0 or df <= 1:
             return None
-        at = np.sort(np.argpartition(-np.abs(rest), min(kept, concepts) - 1)[:kept])
-        return float(np.log(total / df)), at.astype(np.uint16).tobytes(), np.round(rest[at] * (127 / top)).astype(np.int8).tobytes()
+        among = np.zeros(concepts, bool)
+        among[np.argpartition(-np.abs(rest), min(kept, concepts) - 1)[:kept]] = True
+        return float(np.log(total / df)), np.packbits(among).tobytes(), np.round(rest[among] * (127 / top)).astype(np.int8).tobytes()
 
     if blocks <= group:
         each = lambda key, counts, held: [(b, *key, *v) for v in [vector(key, counts)] if v for b in held]
-        return _added(words, _KEY, concepts, "block int, lang_pair string, side int, word string, weight float, at binary, vector binary", each)
+        return _added(words, _KEY, concepts, "block int, lang_pair string, side int, word string, weight float, among binary, vector binary", each)
     # first the sums of up to ``group`` blocks, then of those sums
     parted = words.withColumn("part", (F.col("block") / group).cast("int"))
 
@@ -183,10 +185,10 @@ def _represented(words: DataFrame, sizes: dict[tuple[str, int], int], concepts:
     schema = "lang_pair string, side int, word string, part int, block int, concepts array<smallint>, counts array<int>, blocks array<int>"
     sums = write_shared(_added(parted, [*_KEY, "part"], concepts, schema, some), "sums")
     one = lambda key, counts, held: [(*key, *v) for v in [vector(key, counts)] if v]
-    whole = _added(sums, _KEY, concepts, "lang_pair string, side int, word string, weight float, at binary, vector binary", one)
+    whole = _added(sums, _KEY, concepts, "lang_pair string, side int, word string, weight float, among binary, vector binary", one)
     whole = whole.join(sums.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("k")), _KEY)
     rows = salted_join(sums.select(*_KEY, "part", "blocks"), whole, _KEY, "k", "part", "inner")
-    return rows.select(F.explode("blocks").alias("block"), *_KEY, "weight", "at", "vector")
+    return rows.select(F.explode("blocks").alias("block"), *_KEY, "weight", "among", "vector")
 
 
 def _join_sql(merged: int, least: float) -> str:
@@ -257,9 +259,9 @@ def _align_block(texts: pa.Table, words: pa.Table, concepts: int, strong: int, m
         return empty
     keys = texts.select(["rec_table", "rec_key", "lang_pair"]).to_pylist()
     named = {(p, s, w): k for k, (p, s, w) in enumerate(zip(*(words.column(c).to_pylist() for c in ("lang_pair", "side", "word"))))}
-    each, at = words.column("vector").to_pylist(), np.frombuffer(b"".join(words.column("at").to_pylist()), np.uint16)
-    vectors = np.zeros((len(each), concepts), np.float32)
-    vectors[np.repeat(np.arange(len(each)), [len(v) for v in each]), at] = np.frombuffer(b"".join(each), np.int8)
+    bits = np.frombuffer(b"".join(words.column("among").to_pylist()), np.uint8).reshape(words.num_rows, -1)
+    vectors = np.zeros((words.num_rows, concepts), np.float32)
+    vectors[np.unpackbits(bits, axis=1, count=concepts).astype(bool)] = np.frombuffer(b"".join(words.column("vector").to_pylist()), np.int8)
     vectors *= (words.column("weight").to_numpy() / np.linalg.norm(vectors, axis=1)).astype(np.float32)[:, None]
     vectors = np.vstack([vectors, np.zeros((1, concepts), np.float32)])
     concept = texts.column("concept").to_numpy()
