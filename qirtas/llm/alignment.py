@@ -247,10 +247,13 @@ def _sums(vectors: np.ndarray, rows: np.ndarray, ends: np.ndarray) -> np.ndarray
 
 def _strongest(vectors: np.ndarray, kept: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows and columns of the ``kept`` greatest entries of every row; the others become 0 in place."""
-    if kept < vectors.shape[1] and len(vectors):
-        low = np.argpartition(np.abs(vectors), vectors.shape[1] - kept, axis=1)[:, : vectors.shape[1] - kept]
-        np.put_along_axis(vectors, low, 0, axis=1)
-    return np.nonzero(vectors)
+    size, least = np.abs(vectors), vectors.shape[1] - kept
+    among = size > 0
+    if least > 0 and len(vectors):
+        among &= size >= np.partition(size, least, axis=1)[:, least : least + 1]
+        vectors *= among
+    at = np.flatnonzero(among)
+    return at // vectors.shape[1], at % vectors.shape[1]
 
 
 def _align_block(texts: pa.Table, words: pa.Table, concepts: int, strong: int, merged: int, least: float) -> pa.Table:

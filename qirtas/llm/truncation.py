@@ -253,7 +253,7 @@ def judged(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     table = write_shared(sketches(documents), "sketches")
     docs = table.where("doc_id is not null")
     vocabulary = write_shared(table.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
-    one = [F.any_value(c).alias(c) for c in ("n_chars", "n_bytes", "open_ended", "last_word")]
+    one = [F.min(c).alias(c) for c in ("n_chars", "n_bytes", "open_ended", "last_word")]
     texts = docs.where("not closed").groupBy("source", "text_a", "text_b").agg(F.count(F.lit(1)).alias("copies"), *one)
     texts = write_shared(texts, "open")
     placed = texts
@@ -280,8 +280,14 @@ def scored(documents: DataFrame) -> DataFrame:
     found = texts.join(copies, text, "left")
     goes_on = F.coalesce("copy", F.lit(False)) & ~F.col("habitual")
     reason = F.when(F.col("reason").isin("mark", "limit"), F.col("reason")).when(goes_on, "copy").otherwise(F.col("reason"))
-    verdicts = found.select("source", *text, "copies", "score", reason.alias("reason"))
-    open_docs = salted_join(docs.where("not closed").select("doc_id", "source", *text), verdicts, ["source", *text], "copies", "doc_id", "inner")
+    return of_documents(docs, found.withColumn("reason", reason))
+
+
+def of_documents(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(doc_id, source, closed, score, reason) of every document, from what is known of the open texts; copies of a hot text are spread."""
+    text = ["source", "text_a", "text_b"]
+    verdicts = texts.select(*text, "copies", "score", "reason")
+    open_docs = salted_join(docs.where("not closed").select("doc_id", *text), verdicts, text, "copies", "doc_id", "inner")
     closed = docs.where("closed").select("doc_id", "source", "closed", F.lit(None).cast("double").alias("score"), F.lit(None).cast("string").alias("reason"))
     return open_docs.select("doc_id", "source", F.lit(False).alias("closed"), "score", "reason").union(closed)
 
