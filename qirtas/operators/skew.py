@@ -1,10 +1,10 @@
 """Joins against a key table whose probe side may hold a few very frequent keys.
 
-``keys`` carries the number of probe rows of each key. Keys with ``heavy`` rows or more are at most
-``rows / heavy`` in number, and of them the ``MOST`` most frequent are listed, so the list that is broadcast is bounded at any size (some
-60 MB at its fullest, beyond 10^12 rows; a key that it leaves out has no more than a 10^6th of the rows). The probe rows of listed keys are spread over
-``salts`` partitions, and their single key row is repeated once a salt. Every other key is joined in one place.
-No row is dropped and the probe side is read once.
+``keys`` carries the number of probe rows of each key, and is written to the shared folder. Keys with ``heavy`` rows or more are at most
+``rows / heavy`` in number. Where there is none (a glance at the table's statistics tells), the join is a plain one. Otherwise the ``MOST``
+most frequent are listed, so the list that is broadcast is bounded at any size (some 60 MB at its fullest, beyond 10^12 rows; a key that
+it leaves out has no more than a 10^6th of the rows). The probe rows of listed keys are spread over ``salts`` partitions, and their single
+key row is repeated once a salt. Every other key is joined in one place. No row is dropped and the probe side is read once.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from qirtas.shared import write_shared
+
 HEAVY, MOST = 1_000_000, 1_000_000
 SALTS = 64
 
@@ -25,8 +27,13 @@ def salted_join(probe: DataFrame, keys: DataFrame, on: Sequence[str], count: str
     ``keys`` other than ``count`` come along for inner and left joins.
     """
     on = list(on)
-    hot = keys.where(F.col(count) >= heavy).orderBy(F.desc(count), *on).limit(MOST).select(*on, F.lit(True).alias("_hot"))
-    flagged = probe.join(F.broadcast(hot), on, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(F.lit(0))).drop("_hot")
+    keys = write_shared(keys, "keys")
+    hot = keys.where(F.col(count) >= heavy)
+    if hot.isEmpty():
+        return probe.join(keys.drop(count), on, how)
+    listed = write_shared(hot.orderBy(F.desc(count), *on).limit(MOST).select(*on, F.lit(True).alias("_hot")), "hot")
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    flagged = probe.join(F.broadcast(listed), on, "left").withColumn("_salt", salt).drop("_hot")
     each = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    spread_keys = keys.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(each)).drop(count, "_hot")
+    spread_keys = keys.join(F.broadcast(listed), on, "left").withColumn("_salt", F.explode(each)).drop(count, "_hot")
     return flagged.join(spread_keys, [*on, "_salt"], how).drop("_salt")
