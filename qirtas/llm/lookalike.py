@@ -128,7 +128,7 @@ def lookalike_pairs(values: DataFrame, spread: int = SPREAD) -> DataFrame:
     digest = write_shared(looks.select("field_name", *look, *(F.xxhash64("value", F.lit(k)).alias(n) for k, n in enumerate(form)), "key"), "looks")
     stored = F.struct(*form)
     kinds = digest.groupBy(*on).agg(F.min(stored).alias("lo"), F.max(stored).alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi")
-    mixed = write_shared(salted_join(digest, write_shared(kinds.select(*on, "n"), "kinds"), on, "n", "key"), "mixed")
+    mixed = write_shared(salted_join(digest, kinds.select(*on, "n"), on, "n", "key"), "mixed")
     salts = F.ceil(F.col("k") / spread).cast("int")
     forms = mixed.groupBy(*on, *form).agg(F.count(F.lit(1)).alias("k")).withColumn("salts", salts)
     rows = salted_join(mixed, forms, [*on, *form], "k", "key", "inner").withColumn("salt", F.pmod(F.xxhash64("key"), "salts").cast("int")).drop("salts")

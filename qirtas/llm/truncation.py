@@ -156,7 +156,7 @@ def cut_copies(table: DataFrame, documents: DataFrame) -> DataFrame:
     texts = write_shared(texts.where("bands is not null"), "texts")
     one = texts.select("rep", "n_grams", "closed", F.explode("bands").alias("band"))
     shared = one.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("closed")).alias("n_open")).where("n > 1 and n_open > 0")
-    shared = write_shared(shared.select("band", "n", F.least(F.lit(SALTS), F.ceil(F.col("n") / SPREAD)).cast("int").alias("salts")), "bands")
+    shared = shared.select("band", "n", F.least(F.lit(SALTS), F.ceil(F.col("n") / SPREAD)).cast("int").alias("salts"))
     bucket = F.floor(F.log("n_grams") / np.log(BUCKET)).cast("int")
     members = write_shared(salted_join(one, shared, ["band"], "n", "rep", "inner").withColumn("bucket", bucket), "members")
     others = members.select("band", "bucket", F.pmod(F.xxhash64("rep"), "salts").cast("int").alias("salt"), F.col("rep").alias("center"), F.col("n_grams").alias("n_other"))
@@ -238,7 +238,7 @@ def terminality(docs: DataFrame, open_texts: DataFrame, vocabulary: DataFrame) -
     of_words = of_words.join(F.broadcast(total))  # one row
     of_words = of_words.select("last_word", ((inside + 0.5 + starts) / F.greatest("total", F.lit(1))).alias("chance"), F.when(inside > 0, 1.0).otherwise(0.5 / F.greatest(starts.cast("double"), F.lit(0.5))).alias("whole"))
     rated = pairs.join(of_words.hint("merge"), "last_word").join(in_source, "source")
-    rated = rated.withColumn("rate", _at_least((F.col("k_free") - 1).cast("double")) / F.col("n_docs") / F.col("chance"))
+    rated = write_shared(rated.withColumn("rate", _at_least((F.col("k_free") - 1).cast("double")) / F.col("n_docs") / F.col("chance")), "rated")
     usual_open = rated.groupBy("source").agg((F.sum(F.when(F.col("rate") < 1, F.col("n_free")).otherwise(0)) / F.greatest(F.max("n_closed") + F.sum("n_free"), F.lit(1))).alias("open"))
     score = F.ln(F.col("rate") + F.col("open") * F.col("whole") + 1e-9)
     return rated.join(usual_open, "source").select("source", "last_word", "k", score.alias("terminality"), (F.col("rate") >= 1).alias("habitual"), (F.col("whole") == 1).alias("whole"))
