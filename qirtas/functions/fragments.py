@@ -23,6 +23,7 @@ START = "قال رسول الله|قال النبي|عن النبي|أنه قا
 NOISE = "من طريق|من حديث|في مسنده|في سننه|في صحيحه|في معجمه|إسناد|رجاله|الحافظ|برقم"
 REACH, LEAST_WORDS = 400, 5
 _CUT = "\ufdd0"  # a character that no text holds
+_HELD = 4_000_000  # numbers held at once
 
 
 def clean_matn(c: Column) -> Column:
@@ -85,6 +86,48 @@ def _positions(text: str) -> dict[str, int]:
     return out
 
 
+def _in_windows(short: np.ndarray, long: np.ndarray, width: int) -> np.ndarray:
+    """How many codes ``short`` has in common with every window of ``width`` codes of ``long``, each as often as it stands in both."""
+    kinds, wanted = np.unique(short, return_counts=True)
+    out = np.empty(len(long) + 1 - width, np.int64)
+    step = max(1, _HELD // len(kinds) - width)
+    for first in range(0, len(out), step):
+        part = long[first : first + step + width - 1]
+        at = np.searchsorted(kinds, part)
+        at[at == len(kinds)] = 0
+        hits = np.zeros((len(kinds), len(part) + 1), np.int32)
+        there = np.flatnonzero(kinds[at] == part)
+        hits[at[there], there + 1] = 1
+        np.cumsum(hits, axis=1, out=hits)
+        out[first : first + step] = np.minimum(hits[:, width:] - hits[:, :-width], wanted[:, None]).sum(axis=0)
+    return out
+
+
+def could_score(short: np.ndarray, long: np.ndarray, least: float) -> tuple[list[int], bool]:
+    """Beginnings of the whole windows of ``long`` that may score ``least`` with ``short`` (character codes), and whether a window that is cut at an end may.
+
+    A window of w characters that scores enough with m has c >= least (m + w) / 200 of them in common, and in the same order, so at least
+    3c - m - w - 1 pairs of neighbours as well. Characters and pairs in common are counted without regard to order, which can only give more.
+    """
+    m, n = len(short), len(long)
+    # windows that are cut at an end are whole ones over a margin that has nothing in common
+    margin = np.full(m - 1, -1, np.int64)
+    padded = np.concatenate([margin, long, margin])
+    held = np.minimum(np.minimum(np.arange(1, n + m), m), np.arange(n + m - 1, 0, -1))
+    needed = least * (m + held) / 200 - 1e-9
+    could = _in_windows(short, padded, m) >= needed
+    pairs = 3 * needed - m - held - 1
+    if m > 2 and could.any() and pairs.max() > 0 and m * m < _HELD:  # of longer strings the characters must do
+        both = np.where((padded[1:] >= 0) & (padded[:-1] >= 0), padded[:-1] * 0x110000 + padded[1:], -1)
+        could &= _in_windows(short[:-1] * 0x110000 + short[1:], both, m - 1) >= pairs
+    whole = could[m - 1 : n]
+    return np.flatnonzero(whole).tolist(), bool(could[: m - 1].any() or could[n:].any() or whole[0] or whole[-1])
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+
+
 def partial_ratio(a: str, b: str, least: float = 0.0) -> float:
     """0 to 100: the best 200 * common / (both lengths) of the shorter string with any window of the longer, the shorter's
     length or cut at an end. Scores under ``least`` may come out as 0. Two empty strings give 100, one gives 0."""
@@ -95,21 +138,29 @@ def partial_ratio(a: str, b: str, least: float = 0.0) -> float:
     best = 0.0
     for short, long in [(a, b), (b, a)] if len(a) == len(b) else [(a, b)]:
         m, n = len(short), len(long)
+        if least > 0:
+            starts, ends = could_score(_codes(short), _codes(long), least)
+            if not starts and not ends:
+                continue
+        else:
+            starts, ends = list(range(n - m + 1)), True
         rows = _positions(short)
         # windows cut off at an end: one pass gives the common length with every beginning, one with every end
-        for bits, text in ((rows, long), (_positions(short[::-1]), long[::-1])):
+        for bits, text in ((rows, long), (_positions(short[::-1]), long[::-1])) if ends else ():
             full = state = (1 << m) - 1
             for width, char in enumerate(text[:m], 1):
                 hit = state & bits.get(char, 0)
                 state = ((state + hit) | (state - hit)) & full
                 best = max(best, 200 * (m - state.bit_count()) / (m + width))
         # whole windows: moving on by one place adds at most one common letter, so places that cannot be better are passed over
-        start = 1
-        while start < n - m:
+        after = 1
+        for start in starts:
+            if not after <= start < n - m:
+                continue
             common = _lcs(rows, m, long[start : start + m])
             best = max(best, 100 * common / m)
             needed = max(math.floor(best * m / 100 + 1e-9) + 1, math.ceil(least * m / 100 - 1e-9))
-            start += max(1, needed - common)
+            after = start + max(1, needed - common)
     return best if best >= least else 0.0
 
 
@@ -117,8 +168,8 @@ def fuzzy_top(queries: DataFrame, corpus: DataFrame, k: int = 3, least: float =
     """J14, O10, O11, P15. (query_id, corpus_id, score, rank): the ``k`` best matches of every query, those under ``least`` left out afterwards.
 
     ``queries`` (query_id, text) is a given set and goes to the executors in blocks; the corpus (corpus_id, text) is read once and never
-    gathered. Two bounds drop only pairs that score less than ``least``: character pairs in common, then the common subsequence of
-    the whole strings. The first holds for scores of 80 and more and is left out below. Ties go to the smaller corpus_id.
+    gathered. Bounds drop only what scores less than ``least``: character pairs in common with the whole text (for scores of 80 and more;
+    left out below), then characters and pairs in common with each window. Ties go to the smaller corpus_id.
     """
     rows = [(q, t) for q, t in queries.where("query_id is not null and text <> ''").select("query_id", "text").toLocalIterator()]
     kind = {n: dict(df.dtypes)[n] for df, n in ((queries, "query_id"), (corpus, "corpus_id"))}
@@ -142,7 +193,6 @@ def _scores(rows: list[tuple], corpus: DataFrame, least: float, kind: dict[str,
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, counted, numbers = shared.value
         listed = [(np.fromiter(c.keys(), np.int64, len(c)), np.fromiter(c.values(), np.int32, len(c))) for c in counted]
-        ready = [(_positions(t), len(t)) for _, t in queries]
 
         def part(ids: list, texts: list[str]) -> list[tuple]:
             matrix = np.zeros((len(texts), max(1, len(numbers))), np.int32)
@@ -152,13 +202,11 @@ def _scores(rows: list[tuple], corpus: DataFrame, least: float, kind: dict[str,
                     matrix[i] = np.bincount(known, minlength=matrix.shape[1])
             lengths = np.array([len(t) for t in texts])
             out = []
-            for (query, text), (keys, n), (bits, width) in zip(queries, listed, ready):
-                shorter = np.minimum(lengths, width)
+            for (query, text), (keys, n) in zip(queries, listed):
+                shorter = np.minimum(lengths, len(text))
                 common = np.minimum(matrix[:, keys], n).sum(axis=1)
                 could = np.flatnonzero(common >= shorter / 3 - 1) if least >= 80 else np.arange(len(texts))
                 for i in could.tolist():
-                    if _lcs(bits, width, texts[i]) < least * int(shorter[i]) / (200 - least) - 1e-9:
-                        continue  # every window that scores enough has at least so much in common
                     value = partial_ratio(text, texts[i], least)
                     if value >= least:
                         out.append((query, ids[i], value))
