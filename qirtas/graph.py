@@ -6,7 +6,8 @@ runs before a count or a save. Edges to nodes that do not exist are never writte
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
@@ -42,6 +43,20 @@ def confirmed(answer: str) -> bool:
     return answer.strip().lower() in YES
 
 
+def resilient(write: Callable[[int], None], tries: int = 5, wait: Callable[[float], None] = time.sleep) -> int:
+    """W05. Call ``write(attempt)`` until it ends well, at most ``tries`` times, waiting 2, 4, 8 ... and at most 30 seconds between; the attempts
+    it took. ``write`` must replace what an attempt before it left behind."""
+    for attempt in range(tries):
+        try:
+            write(attempt)
+            return attempt + 1
+        except Exception:
+            if attempt + 1 == tries:
+                raise
+            wait(min(2 ** (attempt + 1), 30))
+    raise ValueError("no tries")
+
+
 @dataclass(frozen=True)
 class Graph:
     nodes: dict[str, DataFrame] = field(default_factory=dict)
@@ -219,13 +234,23 @@ class Graph:
 
     # files
 
-    def save(self, path: str, overwrite: bool = False, records_per_file: int = 0, answer: str | None = None) -> None:
-        """Write every table below ``path``; an existing graph is replaced only with ``overwrite``, or with an ``answer`` that means yes."""
+    def save(self, path: str, overwrite: bool = False, records_per_file: int = 0, answer: str | None = None, indexed: bool = False, tries: int = 1) -> None:
+        """Write every table below ``path``; an existing graph is replaced only with ``overwrite``, or with an ``answer`` that means yes.
+
+        ``indexed`` sorts every table by its key, so that the statistics of the files find a key; a table that fails is written again, ``tries`` times in all.
+        """
         self._guard()
         overwrite = overwrite or (answer is not None and confirmed(answer))
         for name, rows in [*((f"nodes/{k}", v) for k, v in self.nodes.items()), *((f"edges/{'-'.join(k)}", v) for k, v in self.edges.items())]:
-            writer = rows.write.mode("overwrite" if overwrite else "error")
-            (writer.option("maxRecordsPerFile", records_per_file) if records_per_file else writer).parquet(f"{path}/{name}")
+            if indexed:
+                key = self.keys[name.removeprefix("nodes/")] if name.startswith("nodes/") else "src_key"
+                rows = rows.repartitionByRange(key).sortWithinPartitions(key)
+            writer = rows.write.option("maxRecordsPerFile", records_per_file) if records_per_file else rows.write
+
+            def write(attempt: int, writer=writer, name=name) -> None:
+                writer.mode("overwrite" if overwrite or attempt else "error").parquet(f"{path}/{name}")
+
+            resilient(write, tries)
 
     @staticmethod
     def load(spark: SparkSession, path: str, labels: dict[str, str], edges: Sequence[EdgeKey], writable: bool = True) -> Graph:

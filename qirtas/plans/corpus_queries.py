@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from qirtas.functions import html, segment
 from qirtas.functions.normalize import ARABIC_DIGITS
-from qirtas.graph import Graph
+from qirtas.graph import Graph, resilient
 from qirtas.operators import joins, quality, resolve
 from qirtas.plans import layers
 from qirtas.plans.graph_queries import _DEDUP, CN, _lemma_sources, _roots, commerce, e03_lemma_root_edges
@@ -18,7 +18,7 @@ from qirtas.plans.layer_queries import corpus
 from qirtas.plans.register import Register, table
 from qirtas.plans.text_queries import _LEMMAS, _SEGMENTS, _WHEN, _pages, _squeeze, _strip
 from qirtas.shared import shared_path
-from qirtas.sources import files
+from qirtas.sources import files, web
 from qirtas.sources.sqlite import read_sqlite
 from qirtas.streaming import ingest as streams
 
@@ -472,6 +472,56 @@ def h06_topic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("unit", "page", "heading", "r.title", "r.translation")
 
 
+_ATTEMPTS = "WITH a AS (SELECT o_custkey AS unit, o_orderkey AS page, 'u/' || o_custkey || '/' || o_orderkey AS url, k AS attempt, CASE WHEN (o_orderkey + k) % 4 = 0 THEN '<h1>' || o_orderpriority || '</h1>' END AS html FROM orders, range(1, 5) r(k)) "
+
+
+def _attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four attempts at a page for every order, of which some fail."""
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderpriority", F.explode(F.array(*map(F.lit, range(1, 5)))).alias("attempt"))
+    page = F.when((F.col("o_orderkey") + F.col("attempt")) % 4 == 0, F.concat(F.lit("<h1>"), "o_orderpriority", F.lit("</h1>")))
+    path = shared_path(spark, "fetched")
+    rows.select(F.concat_ws("/", F.lit("u"), F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string")).alias("url"), "attempt", page.alias("html")).write.parquet(path)
+    return web.read_fetched(spark, path)
+
+
+@query(_ATTEMPTS + "SELECT url, regexp_replace(min(html) FILTER (attempt <= 3), '<[^>]*>', '', 'g') AS text, CAST(min(attempt) FILTER (attempt <= 3 AND html IS NOT NULL) AS INT) AS attempt, coalesce(bool_or(html IS NOT NULL AND attempt <= 3), false) AS loaded FROM a GROUP BY url")
+def s16_loaded_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetched pages, at most three attempts each, parsed."""
+    pages = web.loaded_pages(_attempts(spark, sf_dir))
+    return pages.select("url", html.visible_text(F.col("html")).alias("text"), "attempt", "loaded")
+
+
+@query(_ATTEMPTS + ", l AS (SELECT unit, page, coalesce(bool_or(html IS NOT NULL AND attempt <= 3), false) AS loaded FROM a GROUP BY 1, 2) SELECT unit, page FROM l x WHERE NOT EXISTS (SELECT 1 FROM l y WHERE y.unit = x.unit AND y.page <= x.page AND NOT y.loaded)")
+def s15_until_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of a customer before the first that could not be loaded."""
+    parts = F.split("url", "/")
+    pages = web.loaded_pages(_attempts(spark, sf_dir)).select(F.get(parts, F.lit(1)).cast("long").alias("unit"), F.get(parts, F.lit(2)).cast("long").alias("page"), "loaded")
+    return web.until_failure(pages, "unit", "page").select("unit", "page")
+
+
+@query("SELECT n_nationkey, n_name, 3 AS attempts FROM nation")
+def w05_resilient_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A write whose first two attempts fail half-way."""
+    rows, path = table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), shared_path(spark, "resilient")
+
+    def write(attempt: int) -> None:
+        rows.limit(5 if attempt < 2 else 25).write.mode("overwrite").parquet(path)
+        if attempt < 2:
+            raise ConnectionError("lost")
+
+    attempts = resilient(write, 5, lambda _: None)
+    return spark.read.parquet(path).withColumn("attempts", F.lit(attempts))
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey = (SELECT max(c_custkey) FROM customer)")
+def w13_indexed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A graph written in the order of its keys; a key is found by the statistics of the files."""
+    g, path = commerce(spark, sf_dir), shared_path(spark, "indexed")
+    Graph({"Customer": g.nodes["Customer"]}, {}, g.keys).save(path, indexed=True)
+    top = table(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0]
+    return Graph.load(spark, path, {"Customer": "c_custkey"}, []).nodes_where("Customer", c_custkey=top).select("c_custkey", "c_name")
+
+
 # sources and sinks
 
 

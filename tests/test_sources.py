@@ -3,7 +3,8 @@ import sqlite3
 import pytest
 from pyspark.sql import functions as F
 
-from qirtas.sources import files
+from qirtas.graph import resilient
+from qirtas.sources import files, web
 from qirtas.sources.sqlite import read_sqlite, sqlite_catalog
 from qirtas.streaming import ingest as s
 
@@ -62,3 +63,31 @@ def test_pages_until_nothing_new(spark):
     assert {tuple(r) for r in s.until_nothing_new(pages, "unit", "page", "key").select("unit", "page", "key").collect()} == {("u", 1, "a"), ("u", 2, "b")}
     done = s.completed_units(spark.createDataFrame([("u", True), ("u", False), ("v", True)], "unit string, loaded boolean"), "unit")
     assert {r.unit: r.completed for r in done.collect()} == {"u": False, "v": True}
+
+
+def test_fetched_pages(spark):
+    rows = [("a", 1, None), ("a", 2, " "), ("a", 3, "x"), ("a", 4, "y"), ("b", 4, "late"), ("c", 1, "one"), ("c", 2, "two")]
+    got = {tuple(r) for r in web.loaded_pages(spark.createDataFrame(rows, "url string, attempt int, html string")).collect()}
+    assert got == {("a", "x", 3, True), ("b", None, None, False), ("c", "one", 1, True)}
+    pages = spark.createDataFrame([("u", 1, True), ("u", 2, False), ("u", 3, True), ("v", 1, True)], "unit string, page int, loaded boolean")
+    assert {(r.unit, r.page) for r in web.until_failure(pages, "unit", "page").collect()} == {("u", 1), ("v", 1)}
+
+
+def test_settings(spark):
+    env = {"QIRTAS_SOURCES": "s", "QIRTAS_GRAPH": "g", "QIRTAS_CHECKPOINTS": "c", "QIRTAS_PARTITIONS": "7"}
+    assert web.Settings.from_environment(env) == web.Settings("s", "g", "c", "corpus", 7)
+    with pytest.raises(ValueError, match="QIRTAS_GRAPH"):
+        web.Settings.from_environment(env | {"QIRTAS_GRAPH": ""})
+
+
+def test_resilient_write():
+    waited, seen = [], []
+
+    def write(attempt):
+        seen.append(attempt)
+        if attempt < 2:
+            raise ConnectionError
+
+    assert resilient(write, 5, waited.append) == 3 and waited == [2, 4] and seen == [0, 1, 2]
+    with pytest.raises(ConnectionError):
+        resilient(lambda _: (_ for _ in ()).throw(ConnectionError()), 2, waited.append)
