@@ -215,20 +215,20 @@ def _placed(occurrences: DataFrame) -> DataFrame:
     place = F.substring_index("location", ":", -1)
     at = place.try_cast("int")
     return occurrences.where("location is not null").select(
-        parent_key(F.col("location")).alias("rec"), place.alias("place"), F.when(at >= 0, at).alias("at"), "loaded_at", "occ_id",
+        F.coalesce(parent_key(F.col("location")), F.lit("")).alias("rec"), place.alias("place"), F.when(at >= 0, at).alias("at"), "loaded_at", "occ_id",
         F.when(~F.col("surface_norm").rlike("(?U)^\\s*$"), F.col("surface_norm")).alias("surface_norm"), F.col("top_lemma_id").cast("string").alias("lemma"),
     )
 
 
-def counts(occurrences: DataFrame, fields: list[str], depths: int, sigma: int = SIGMA, first_only: bool = False, longest: int | None = None, stretch: int = STRETCH) -> DataFrame:
-    """(field, terms, occurrences, records) of every prefix of up to ``depths`` terms. ``longest``: the greatest place, counted here if not given."""
+def counts(occurrences: DataFrame, fields: list[str], depths: int, sigma: int = SIGMA, first_only: bool = False, several: bool | None = None, stretch: int = STRETCH) -> DataFrame:
+    """(field, terms, occurrences, records) of every prefix of up to ``depths`` terms. ``several``: whether a record has more than one
+    stretch, looked up here if not given. Places without a number are stretches of their own, by hash."""
     rows = _placed(occurrences).select("rec", "place", "at", "loaded_at", "occ_id", *fields)
-    longest = rows.agg(F.max("at")).first()[0] if longest is None else longest
-    several = longest is not None and longest >= stretch
-    own = F.coalesce(F.floor(F.col("at") / stretch), F.lit(0)).cast("int")
+    several = bool(rows.agg(F.max(_beyond(stretch))).first()[0]) if several is None else several
+    own = F.when(F.col("at").isNull(), -1 - F.pmod(F.xxhash64("place"), F.lit(64))).otherwise(F.floor(F.col("at") / stretch)).cast("int")
     if several:
         # records of more than one stretch; the first places of a stretch are read with the one before too
-        long = rows.where(F.col("at") >= stretch).groupBy("rec").agg(F.count(F.lit(1)).alias("k"), F.lit(True).alias("several"))
+        long = rows.where(_beyond(stretch)).groupBy("rec").agg(F.count(F.lit(1)).alias("k"), F.lit(True).alias("several"))
         rows = salted_join(rows, long, ["rec"], "k", "place", "left").withColumn("several", F.coalesce("several", F.lit(False)))
         also = F.when((own > 0) & (F.pmod("at", F.lit(stretch)) < sigma - 1), F.array(own, own - 1)).otherwise(F.array(own))
         rows = rows.withColumn("stretch", F.explode(also))
@@ -247,9 +247,14 @@ def counts(occurrences: DataFrame, fields: list[str], depths: int, sigma: int =
     return parts.groupBy("field", "terms").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
 
 
-def term_counts(occurrences: DataFrame, sigma: int = SIGMA, longest: int | None = None, stretch: int = STRETCH) -> DataFrame:
+def _beyond(stretch: int) -> Column:
+    """Whether a row lies outside the first stretch of its record."""
+    return F.col("at").isNull() | (F.col("at") >= stretch)
+
+
+def term_counts(occurrences: DataFrame, sigma: int = SIGMA, several: bool | None = None, stretch: int = STRETCH) -> DataFrame:
     """(field, term, occurrences, records) of every surface_norm and every top_lemma_id (field 'lemma')."""
-    found = counts(occurrences, ["surface_norm", "lemma"], 1, sigma, False, longest, stretch)
+    found = counts(occurrences, ["surface_norm", "lemma"], 1, sigma, False, several, stretch)
     return found.select("field", F.get("terms", F.lit(0)).alias("term"), "occurrences", "records")
 
 
@@ -265,9 +270,9 @@ def ngram_counts(occurrences: DataFrame, sigma: int = SIGMA, least: int = 1, str
 def marks(occurrences: DataFrame, lemmas: DataFrame, rare: int = RARE, common: float = COMMON) -> DataFrame:
     """(field_name, term, mark): terms in at most ``rare`` records, in more than ``common`` of all records, and lemmas
     whose stored frequency is not the number of their locations (none counts as 0). Lemmas are those of the lemma table."""
-    records = _placed(occurrences).groupBy("rec").agg(F.max("at").alias("at"))
-    total, longest = records.agg(F.count(F.lit(1)), F.coalesce(F.max("at"), F.lit(0))).first()
-    found = term_counts(occurrences, longest=longest)
+    records = _placed(occurrences).groupBy("rec").agg(F.max(_beyond(STRETCH)).alias("beyond"))
+    total, several = records.agg(F.count(F.lit(1)), F.max("beyond")).first()
+    found = term_counts(occurrences, several=bool(several))
     known = lemmas.where("lemma_id is not null").groupBy(F.col("lemma_id").cast("string").alias("term")).agg(F.min("frequency").alias("least"), F.max("frequency").alias("most"))
     # one pass gives both fields: every term meets the lemma table, and lemmas that never occur count 0
     known = known.select(F.lit("lemma").alias("field"), "term", "least", "most", F.lit(True).alias("known"))
