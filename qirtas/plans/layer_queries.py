@@ -74,7 +74,7 @@ UNION ALL SELECT 'edge', 'RELATED_HADITH:Tafsir:Hadith', count(*) FROM (SELECT D
 
 @query(_CORPUS)
 def b01_corpus_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B01-B03, B05, B09-B11, B17, E08, W18-W23, A01."""
+    """Nodes and edges of every layer, counted. The layers have queries with values of their own."""
     return corpus(spark, sf_dir).counts()
 
 
@@ -103,7 +103,7 @@ def b17_related_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def b13_opinion_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items of paged documents linked to hadith by collection and number and to verses by chapter name."""
+    """Items of paged documents linked to hadith by collection and number and to verses by chapter name."""
     hadith = layers.first_delivery(table(spark, sf_dir, "hadith"), "hadith_id")
     names = F.array(*(F.lit(v) for v in dict.fromkeys(v for _, v in COLLECTIONS)))
     numbered = layers.numbered_index(hadith.select("hadith_id", F.get(names, (F.col("koleksi_id") % 6).cast("int")).alias("collection"), "nomor"))
@@ -127,7 +127,7 @@ def b16_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, user_id, event_type, value FROM events WHERE value IS NOT NULL AND value >= 0")
 def t01_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as a file stream, each id once, bad values to quarantine; run twice, the second run finds nothing new."""
+    """Events as a file stream, each id once, bad values to quarantine; run twice, the second run finds nothing new."""
     base = shared_path(spark, "ingest")
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
@@ -159,7 +159,7 @@ def s06_unseen_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("WITH p AS (SELECT o_custkey AS unit, CAST(o_orderkey % 5 + 1 AS INT) AS page, o_orderpriority AS key FROM orders), f AS (SELECT unit, key, min(page) AS page FROM p GROUP BY 1, 2), g AS (SELECT DISTINCT unit, page FROM f), r AS (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY page) AS k FROM g), l AS (SELECT unit, count(*) FILTER (page = k) AS last FROM r GROUP BY unit) SELECT unit, key, page FROM f JOIN l USING (unit) WHERE page <= last")
 def h05_pages_until_nothing_new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of a unit count until one brings no new key."""
+    """Pages of a unit count until one brings no new key."""
     pages = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("unit"), (F.col("o_orderkey") % 5 + 1).cast("int").alias("page"), F.col("o_orderpriority").alias("key"))
     return streams.until_nothing_new(pages, "unit", "page", "key").select("unit", "key", "page")
 

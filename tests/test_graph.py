@@ -163,3 +163,17 @@ def test_hot_keys_beyond_the_bound(spark, monkeypatch):
     probe = frame(spark, [(k, i) for i in range(60) for k in "aabbc"], "k string, i int")
     keys = frame(spark, [("a", 120), ("b", 120), ("c", 60)], "k string, n long")
     assert salted_join(probe, keys, ["k"], "n", "i", "inner", heavy=100, salts=4).count() == 300
+
+
+def test_large_key_tables_are_not_broadcast(spark, monkeypatch):
+    from qirtas.operators import skew
+
+    probe = frame(spark, [(k, i) for i in range(60) for k in "aabbc"], "k string, i int")
+    keys = frame(spark, [("a", 120), ("b", 120), ("c", 60)], "k string, n long")
+    for small, heavy in ((2, 10**6), (2, 100), (10, 100)):
+        monkeypatch.setattr(skew, "SMALL", small)
+        joined = salted_join(probe, keys, ["k"], "n", "i", "inner", heavy=heavy, salts=4)
+        assert joined.count() == 300 and joined.columns == ["k", "i"]
+    monkeypatch.setattr(skew, "SMALL", 2)
+    plan = salted_join(probe, keys, ["k"], "n", "i", "inner")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
