@@ -144,14 +144,14 @@ def t02_seen_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "WITH e AS (SELECT user_id, event_type, event_id <= (SELECT (min(event_id) + max(event_id)) / 2 FROM events WHERE user_id IS NOT NULL) AS early FROM events WHERE user_id IS NOT NULL) "
-    "SELECT DISTINCT user_id, event_type FROM e l WHERE NOT early AND NOT EXISTS (SELECT 1 FROM e s WHERE s.early AND s.user_id = l.user_id AND s.event_type = l.event_type)"
+    "WITH e AS (SELECT user_id, event_type, CAST(floor(value / 20) AS BIGINT) AS band, event_id <= (SELECT (min(event_id) + max(event_id)) / 2 FROM events WHERE user_id IS NOT NULL) AS early FROM events WHERE user_id IS NOT NULL) "
+    "SELECT DISTINCT user_id, event_type, band FROM e l WHERE NOT early AND NOT EXISTS (SELECT 1 FROM e s WHERE s.early AND s.user_id = l.user_id AND s.event_type = l.event_type AND s.band = l.band)"
 )
 def s06_unseen_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kinds of events of a user in the later half of the events (by event_id) that no earlier event of the user has, once each."""
-    events = table(spark, sf_dir, "events").where("user_id is not null")
+    """Kinds of events of a user (type, and band of values) in the later half of the events (by event_id) that no earlier event of the user has, once each."""
+    events = table(spark, sf_dir, "events").where("user_id is not null").withColumn("band", F.floor(F.col("value") / 20))
     half = events.agg(((F.min("event_id") + F.max("event_id")) / 2).alias("half"))
-    key = ["user_id", "event_type"]
+    key = ["user_id", "event_type", "band"]
     halves = events.join(F.broadcast(half)).select(*key, (F.col("event_id") <= F.col("half")).alias("early"))  # one row
     seen = write_shared(seen_keys(halves.where("early"), *key), "seen")
     return not_seen(halves.where("not early").select(*key), seen, key)

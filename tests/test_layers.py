@@ -110,8 +110,8 @@ def test_commentary_counts_read_the_whole_table(spark, tmp_path):
 
 def test_unseen_keys(spark, tmp_path):
     rows = [(0, 1, "a"), (1, 2, "a"), (2, 2, "a"), (7, 2, "a"), (8, 3, "a"), (9, 3, "a"), (10, 4, "a"), (6, None, "a"), (8, 2, "b"), (9, 1, None)]
-    spark.createDataFrame(rows, "event_id long, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
-    assert {tuple(r) for r in layer_queries.s06_unseen_keys(spark, str(tmp_path)).collect()} == {(3, "a"), (4, "a"), (2, "b"), (1, None)}
+    spark.createDataFrame([(*r, 5.0) for r in rows] + [(10, 2, "a", 25.0)], "event_id long, user_id long, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    assert {tuple(r) for r in layer_queries.s06_unseen_keys(spark, str(tmp_path)).collect()} == {(3, "a", 0), (4, "a", 0), (2, "b", 0), (1, None, 0), (2, "a", 1)}
 
 
 def test_quoted_candidates(spark, tmp_path):
