@@ -122,7 +122,7 @@ def lookalike_pairs(values: DataFrame, spread: int = SPREAD) -> DataFrame:
     the distinct forms are paired, and only rows of two different forms meet; the rows of a form are spread over salts, one for
     each ``spread`` of them. Rows without place, key or value are no cases.
     """
-    looks = canonical(values.where("key is not null and value is not null and place is not null"))
+    looks = canonical(values.where("key is not null and value is not null and place is not null").select("field_name", "key", "place", "value"))
     on, form = ["field_name", "look_a", "look_b"], ["form_a", "form_b"]
     look = [F.xxhash64("place", "canonical", F.lit(k)).alias(n) for k, n in enumerate(on[1:])]
     digest = write_shared(looks.select("field_name", *look, *(F.xxhash64("value", F.lit(k)).alias(n) for k, n in enumerate(form)), "key"), "looks")

@@ -105,3 +105,15 @@ def test_empty(spark):
     assert frequency.term_counts(none).collect() == []
     assert frequency.ngram_counts(none).collect() == []
     assert frequency.marks(none, spark.createDataFrame([(1, None)], "lemma_id long, frequency long")).collect() == []
+
+
+def test_hot_terms_spread(spark):
+    """A first term that makes up a third of the suffixes gets a share of the partitions; counts stay whole."""
+    rows = [(i, f"{i // 20}:{i % 20}", "hot" if i % 3 == 0 else f"t{i % 101}", None, None) for i in range(6_000)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    placed = frequency._placed(frame).selectExpr("rec", "false AS several", "0 AS stretch", "at", "place", "surface_norm").repartition(1).sortWithinPartitions("rec", "at")
+    found = frequency.suffixes(placed, ["surface_norm"], 3, False)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salts = {r.t0: r.n for r in found.groupBy("t0").agg(F.countDistinct("salt").alias("n")).collect()}
+    assert salts["hot"] == -(-parts // 3) and salts["t1"] == 1
+    assert {r.term: r.occurrences for r in frequency.term_counts(frame).where("term = 'hot'").collect()} == {"hot": 2_000}

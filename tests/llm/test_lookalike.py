@@ -53,7 +53,7 @@ def test_long_value(spark):
 def test_pairs_of_large_groups(spark):
     """Many copies of one form and few of another: only rows of different forms meet."""
     rows = [("f", k, "", "abc") for k in range(300)] + [("f", 1_000 + k, "", "ab\u200bc") for k in range(3)] + [("f", 2_000, "", "\uff41bc"), ("f", 2_000, "", "abc"), ("g", 1, "", "abc"), ("f", 3_000, "x", "ab\u200bc")]
-    frame = spark.createDataFrame(rows, "field_name string, key long, place string, value string")
+    frame = spark.createDataFrame(rows, "field_name string, key long, place string, value string").withColumns({"canonical": F.lit("x"), "look_a": F.lit(1), "form_a": F.lit(2)})
     true = {("f", min(a, b), max(a, b)) for _, a, p, v in rows for _, b, q, w in rows if a != b and p == q and v != w and "x" not in (p, q)}
     for spread in (7, 10_000):
         got = [tuple(r) for r in lookalike.lookalike_pairs(frame, spread).collect()]
