@@ -131,16 +131,14 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, ranked: int = RANKED) -
 
 
 def invariants(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """(n_texts, n_pieces, tokens, n_overfull, n_misplaced, n_split) of a filling: what went in, containers with more than ``capacity``, pieces
-    that do not begin where the one before ends, and texts of up to ``capacity`` that were divided."""
-    each = packed.groupBy("container").agg(F.sum("size").alias("used"), F.array_sort(F.collect_list(F.struct("at", "size"))).alias("inside"))  # at most ``capacity`` pieces
-    begins = F.transform("inside", lambda x: x["at"])
-    ends = F.transform("inside", lambda x: x["at"] + x["size"])
-    wrong = F.size(F.filter(F.arrays_zip(begins.alias("b"), F.concat(F.array(F.lit(0)), F.slice(ends, F.lit(1), F.size(ends) - 1)).alias("e")), lambda x: x["b"] != x["e"]))
-    boxes = each.agg(F.count_if(F.col("used") > capacity).alias("n_overfull"), F.coalesce(F.sum(wrong), F.lit(0)).alias("n_misplaced"))
-    texts = packed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k"), F.sum("size").alias("used"))
-    whole = texts.agg(F.count(F.lit(1)).alias("n_texts"), F.coalesce(F.sum("k"), F.lit(0)).alias("n_pieces"), F.coalesce(F.sum("used"), F.lit(0)).alias("tokens"), F.count_if((F.col("k") > 1) & (F.col("used") <= capacity)).alias("n_split"))
-    return whole.join(F.broadcast(boxes)).select("n_texts", "n_pieces", "tokens", "n_overfull", "n_misplaced", "n_split")  # one row each
+    """(doc_id, n_pieces, tokens, largest, n_overfull, n_misplaced) of each text in a filling: its pieces, their sum and the largest, how many of them lie
+    in a container that holds more than ``capacity``, and how many do not begin where the piece before ends (or at 0)."""
+    container = Window.partitionBy("container")  # at most ``capacity`` pieces
+    ends = F.lag(F.col("at") + F.col("size")).over(container.orderBy("at"))
+    rows = packed.select("doc_id", "size", F.sum("size").over(container).alias("used"), (F.col("at") != F.coalesce(ends, F.lit(0))).alias("misplaced"))
+    return rows.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_pieces"), F.sum("size").alias("tokens"), F.max("size").alias("largest"), F.count_if(F.col("used") > capacity).alias("n_overfull"), F.count_if("misplaced").alias("n_misplaced")
+    )
 
 
 def summary(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:

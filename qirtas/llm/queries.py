@@ -183,8 +183,8 @@ WITH rows AS (
 SELECT array_to_string(t, ' ') AS ngram, CAST(len(t) AS BIGINT) AS n_terms, count(*) AS occurrences, count(DISTINCT rec) AS records, count(DISTINCT rec) <= 2 AS rare FROM grams GROUP BY t"""
 
 _P6_INVARIANTS = """
-WITH n AS (SELECT greatest(coalesce(n_tokens, strlen(text) + 1), 1) AS n FROM documents WHERE n_tokens IS NOT NULL OR text IS NOT NULL)
-SELECT count(*) AS n_texts, CAST(sum((n + 2047) // 2048) AS BIGINT) AS n_pieces, CAST(sum(n) AS BIGINT) AS tokens, 0 AS n_overfull, 0 AS n_misplaced, 0 AS n_split FROM n"""
+WITH n AS (SELECT doc_id, greatest(coalesce(n_tokens, strlen(text) + 1), 1) AS n FROM documents WHERE n_tokens IS NOT NULL OR text IS NOT NULL)
+SELECT doc_id, (n + 2047) // 2048 AS n_pieces, n AS tokens, least(n, 2048) AS largest, 0 AS n_overfull, 0 AS n_misplaced FROM n"""
 
 _P7_REMOVAL = _P7[: _P7.index(", grams AS")] + """, items AS (
   SELECT DISTINCT id AS item, array_to_string(list_slice(w, i, i + 7), ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 6)) AS i FROM words WHERE kind = 'item')

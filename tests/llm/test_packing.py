@@ -72,3 +72,10 @@ def test_sweep_is_best_fit(sizes):
                 # the rest of a run that opens containers fills them again later
                 used[firsts[k] + i] += size
     assert sorted(30 - u for u in used.values()) == one_by_one(sizes, 30)
+
+
+def test_invariants(spark):
+    schema = "doc_id long, piece int, token_start long, size int, container long, at int"
+    rows = [(1, 0, 0, 6, 0, 0), (2, 0, 0, 4, 0, 6), (3, 0, 0, 10, 1, 0), (3, 1, 10, 2, 2, 0), (4, 0, 0, 9, 2, 2), (5, 0, 0, 1, 3, 4)]
+    got = {tuple(r) for r in packing.invariants(spark.createDataFrame(rows, schema), 10).collect()}
+    assert got == {(1, 1, 6, 6, 0, 0), (2, 1, 4, 4, 0, 0), (3, 2, 12, 10, 1, 0), (4, 1, 9, 9, 1, 0), (5, 1, 1, 1, 0, 1)}
