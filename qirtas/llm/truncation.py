@@ -45,7 +45,7 @@ _CLOSED = re.compile(r"(?<!\.\.)[.!?؟]['\"»”’)\]}]*$")
 _OPEN_ENDED = re.compile(r"(…|\.\.\.)['\"»”’)\]}]*$")
 _PUNCTUATION = "[.!?؟،,;:؛»«\"'()\\[\\]{}…“”]+"
 _MULTIPLIERS = np.random.default_rng(12).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SKETCH = "word string, n long, doc_id long, source string, text_a long, text_b long, n_chars int, n_bytes int, n_grams int, closed boolean, open_ended boolean, last_word string, bands array<long>"
+_SKETCH = "word string, n long, doc_id long, source string, text_a long, text_b long, n_chars int, n_bytes int, n_grams int, closed boolean, open_ended boolean, last_word string, tail long, own_end boolean, bands array<long>"
 _ANCHORS = [*range(1, 17), *(2**k for k in range(5, 21))]
 
 
@@ -78,12 +78,23 @@ def _bands(codes_hash: np.ndarray, ends: np.ndarray) -> tuple[list[np.ndarray |
     return out, distinct
 
 
+def _tails(codes: np.ndarray, of_words: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Of each text a digest of its last two words, and whether neither stands anywhere before in it. No such text goes on behind the end of
+    another one with the same last two words."""
+    tails, own = np.zeros(len(ends) - 1, np.uint64), np.zeros(len(ends) - 1, bool)
+    for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
+        if b - a > 1:
+            tails[i] = of_words[b - 1] * np.uint64(0x9E3779B97F4A7C15) + of_words[b - 2]
+            own[i] = not (codes[a : b - 1] == codes[b - 1]).any() and not (codes[a : b - 2] == codes[b - 2]).any()
+    return pa.array(signed(mix(tails))), pa.array(own)
+
+
 def sketches(documents: DataFrame) -> DataFrame:
     """One row a document, with what the rest needs of it, and one row for each distinct word of a task with its count. Numbers are one word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split(" ")[0] for f in _SKETCH.split(", ")]
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.string(), pa.list_(pa.int64())]
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.string(), pa.int64(), pa.bool_(), pa.list_(pa.int64())]
         vocabulary: Counter[str] = Counter()
         for batch in batches:
             texts = pc.utf8_rtrim_whitespace(as_array(batch.column(2)))
@@ -94,7 +105,9 @@ def sketches(documents: DataFrame) -> DataFrame:
                 vocabulary[named[code]] += n
             ending = [(t.rsplit(None, 1) or [""])[-1] for t in texts.to_pylist()]
             last = [named[codes[b - 1]] if b > a else "" for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            bands, distinct = _bands(hashes[codes] if len(codes) else np.zeros(0, np.uint64), ends)
+            of_words = hashes[codes] if len(codes) else np.zeros(0, np.uint64)
+            bands, distinct = _bands(of_words, ends)
+            tails, own_ends = _tails(codes, of_words, ends)
             two = [np.array([xxhash.xxh3_64_intdigest(t, seed) for t in plain.to_pylist()], np.uint64) for seed in (3, 4)]
             full = as_array(batch.column(2))
             columns = [
@@ -102,7 +115,7 @@ def sketches(documents: DataFrame) -> DataFrame:
                 as_array(batch.column(0)).cast(pa.int64()), as_array(batch.column(1)), pa.array(signed(two[0])), pa.array(signed(two[1])),
                 pc.utf8_length(full).cast(pa.int32()), pc.binary_length(full).cast(pa.int32()), pa.array(distinct, pa.int32()),
                 pa.array([bool(_CLOSED.search(e)) for e in ending], pa.bool_()), pa.array([bool(_OPEN_ENDED.search(e)) for e in ending], pa.bool_()),
-                pa.array(last, pa.string()), pa.array(bands, pa.list_(pa.int64())),
+                pa.array(last, pa.string()), tails, own_ends, pa.array(bands, pa.list_(pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
         found = list(vocabulary.items())
@@ -149,22 +162,34 @@ def cut_copies(table: DataFrame, documents: DataFrame) -> DataFrame:
 
     Of exact copies the one with the least doc_id stands for all. Every unclosed text is compared with every other text of its bands whose
     number of distinct shingles allows a similarity of ``ALIKE``. Such texts lie in the same or the next bucket of sizes; the texts of a
-    bucket are spread over salts, one for each ``SPREAD`` texts of the band.
+    bucket are spread over salts, one for each ``SPREAD`` texts of the band. Texts with the commonest last two words of a bucket do not
+    meet those of them that have these two words nowhere else, which cannot go on behind them: a family of alike texts with one
+    end is not paired with itself.
     """
     text = ["text_a", "text_b"]
-    texts = table.where("doc_id is not null").groupBy(*text).agg(F.min("doc_id").alias("rep"), F.bool_and("closed").alias("closed"), F.any_value("n_grams").alias("n_grams"), F.any_value("bands").alias("bands"))
+    texts = table.where("doc_id is not null").groupBy(*text).agg(F.min("doc_id").alias("rep"), F.bool_and("closed").alias("closed"), *(F.any_value(c).alias(c) for c in ("n_grams", "tail", "own_end", "bands")))
     texts = write_shared(texts.where("bands is not null"), "texts")
-    one = texts.select("rep", "n_grams", "closed", F.explode("bands").alias("band"))
+    one = texts.select("rep", "n_grams", "closed", "tail", "own_end", F.explode("bands").alias("band"))
     shared = one.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("closed")).alias("n_open")).where("n > 1 and n_open > 0")
     shared = shared.select("band", "n", F.least(F.lit(SALTS), F.ceil(F.col("n") / SPREAD)).cast("int").alias("salts"))
     bucket = F.floor(F.log("n_grams") / np.log(BUCKET)).cast("int")
     members = write_shared(salted_join(one, shared, ["band"], "n", "rep", "inner").withColumn("bucket", bucket), "members")
-    others = members.select("band", "bucket", F.pmod(F.xxhash64("rep"), "salts").cast("int").alias("salt"), F.col("rep").alias("center"), F.col("n_grams").alias("n_other"))
+    if members.isEmpty():
+        return texts.select(*text).limit(0)
+    place = ["band", "bucket"]
+    tails = members.groupBy(*place, "tail").agg(F.count_if("own_end").alias("k"), F.count(F.lit(1)).alias("n"))
+    common = write_shared(tails.groupBy(*place).agg(F.max_by("tail", "k").alias("common"), F.sum("n").alias("n")), "tails")
+    same = F.col("tail") == F.col("common")
     near = F.array(*(F.col("bucket") + k for k in (-1, 0, 1)))
-    open_ones = members.where("not closed").withColumn("bucket", F.explode(near)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    every = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
+    open_ones = salted_join(members.where("not closed").withColumn("bucket", F.explode(near)), common, place, "n", "rep", "inner")
+    open_ones = open_ones.select(*place, every.alias("salt"), "rep", "n_grams", same.alias("same"))
+    others = salted_join(members, common, place, "n", "rep", "inner")
+    others = others.select(*place, F.pmod(F.xxhash64("rep"), "salts").cast("int").alias("salt"), F.col("rep").alias("center"), F.col("n_grams").alias("n_other"), (same & F.col("own_end")).alias("ends_here"))
     like = F.least("n_grams", "n_other") >= ALIKE * F.greatest("n_grams", "n_other") - 1e-9
-    pairs = open_ones.join(others, ["band", "bucket", "salt"]).where((F.col("rep") != F.col("center")) & like).select("rep", "center").distinct()
-    pairs = write_shared(pairs, "pairs")
+    met = open_ones.join(others.where("not ends_here"), [*place, "salt"]).drop("same", "ends_here")
+    met = met.union(open_ones.where("not same").join(others.where("ends_here"), [*place, "salt"]).drop("same", "ends_here"))
+    pairs = write_shared(met.where((F.col("rep") != F.col("center")) & like).select("rep", "center").distinct(), "pairs")
     if pairs.isEmpty():
         return texts.select(*text).limit(0)
     ids = write_shared(pairs.select(F.explode(F.array("rep", "center")).alias("doc_id")).distinct(), "ids")
@@ -177,8 +202,8 @@ def cut_copies(table: DataFrame, documents: DataFrame) -> DataFrame:
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (pc.replace_substring_regex(as_array(batch.column(k)), _PUNCTUATION, "").to_pylist() for k in (1, 2))
-            yield batch.select(["rep"]).filter(pa.array([ends_early(x.split(), y.split()) for x, y in zip(a, b)], pa.bool_()))
+            a, b = (pc.replace_substring_regex(pc.replace_substring_regex(as_array(batch.column(k)), _PUNCTUATION, ""), "\\s+", " ").to_pylist() for k in (1, 2))
+            yield batch.select(["rep"]).filter(pa.array([ends_early(*([w for w in t.split(" ") if w] for t in pair)) for pair in zip(a, b)], pa.bool_()))
 
     found = both.mapInArrow(verify, "rep long").distinct()
     return texts.join(found, "rep", "left_semi").select(*text)
