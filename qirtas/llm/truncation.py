@@ -82,10 +82,11 @@ def _tails(codes: np.ndarray, of_words: np.ndarray, ends: np.ndarray) -> tuple[p
     """Of each text a digest of its last two words, and whether neither stands anywhere before in it. No such text goes on behind the end of
     another one with the same last two words."""
     tails, own = np.zeros(len(ends) - 1, np.uint64), np.zeros(len(ends) - 1, bool)
-    for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
-        if b - a > 1:
-            tails[i] = of_words[b - 1] * np.uint64(0x9E3779B97F4A7C15) + of_words[b - 2]
-            own[i] = not (codes[a : b - 1] == codes[b - 1]).any() and not (codes[a : b - 2] == codes[b - 2]).any()
+    two = np.flatnonzero(np.diff(ends) > 1)
+    if len(two):
+        tails[two] = of_words[ends[two + 1] - 1] * np.uint64(0x9E3779B97F4A7C15) + of_words[ends[two + 1] - 2]
+    for i, a, b in zip(two.tolist(), ends[two].tolist(), ends[two + 1].tolist()):
+        own[i] = not (codes[a : b - 1] == codes[b - 1]).any() and not (codes[a : b - 2] == codes[b - 2]).any()
     return pa.array(signed(mix(tails))), pa.array(own)
 
 
