@@ -31,7 +31,7 @@ from qirtas.functions.normalize import KEY_FOLD, MARKS, TATWEEL
 from qirtas.llm.vectors import as_array, words_of
 from qirtas.shared import write_shared
 
-LEAST, BLOCK, MOST = 8, 500_000, 20_000_000
+LEAST, BLOCK, MOST = 8, 200_000, 4_000_000
 _FOLD = dict(zip(*KEY_FOLD))
 
 
