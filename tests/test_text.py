@@ -95,6 +95,44 @@ def test_partial_ratio(a, b):
     assert abs(fragments.partial_ratio(a, b, 80.0) - (wanted if wanted >= 80 else 0)) < 1e-9
 
 
+def near(a, b, least):
+    """Places of pairs that pass the bound, whichever text is the shorter."""
+    return {(i, j) for i, j in fragments.near_pairs(a, b, least).T.tolist()} | {(i, j) for j, i in fragments.near_pairs(b, a, least).T.tolist()}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text("abc", min_size=1, max_size=9), min_size=1, max_size=6), st.lists(st.text("abc", min_size=1, max_size=14), min_size=1, max_size=6), st.sampled_from([60.0, 80.0, 100.0]))
+def test_near_pairs_lose_nothing(a, b, least):
+    assert {(i, j) for i, x in enumerate(a) for j, y in enumerate(b) if brute_ratio(x, y) >= least} <= near(a, b, least)
+
+
+def test_near_pairs_are_few():
+    """Of texts of some hundred letters all that score enough pass, changed here and there, cut off or inside others, and hardly any other pair."""
+    rng = random.Random(7)
+    letters = "aaaabbcdefghijklmnopqrstuvwxyz"
+    text = lambda n: " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 8))) for _ in range(n))
+    short = [text(n) for n in (9, 11, 20, 22, 35, 45, 60, 75) for _ in range(15)]
+    long = [text(rng.randint(8, 150)) for _ in range(500)]
+    for i, s in enumerate(short):
+        changed = "".join(c for k, x in enumerate(s) for c in (x, rng.choice(letters))[: (0 if k % 11 == 3 else 2 if k % 11 == 8 else 1)])
+        long[4 * i : 4 * i + 4] = text(20) + changed + text(9), changed[len(s) // 5 :] + text(40), text(40) + changed[: -len(s) // 5], changed[len(s) // 6 : -len(s) // 6]
+    got = near(short, long, 80.0)
+    scored = {(i, j) for i in range(len(short)) for j in range(4 * i, 4 * i + 4) if fragments.partial_ratio(short[i], long[j], 80.0)}
+    assert len(scored) > 400 and scored <= got
+    assert len(got - scored) < len(short) * len(long) / 500
+    others = [(i, j) for i in range(len(short)) for j in rng.sample(range(480, 500), 2)]
+    assert not any(fragments.partial_ratio(short[i], long[j], 80.0) for i, j in others if (i, j) not in got)
+
+
+def test_fuzzy_top_reads_the_corpus_once(spark):
+    """However many blocks the queries make."""
+    corpus = spark.range(4).selectExpr("id AS corpus_id", "'one two three four five ' || id AS text")
+    queries = spark.range(9).selectExpr("id AS query_id", "'two three four five' AS text")
+    found = fragments.fuzzy_top(queries, corpus, block=2)
+    assert [r.corpus_id for r in found.orderBy("query_id", "rank").collect()] == [0, 1, 2] * 9
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
 def test_fuzzy_top_is_brute_force(spark):
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcd") for _ in range(4))
