@@ -251,10 +251,9 @@ def c12_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def j14_fuzzy_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test items against every document, both in the search form and of five words or more."""
-    items = table(spark, sf_dir, "eval_item").select(F.col("item_id").alias("query_id"), n.normalize_ar(F.col("text")).alias("text"))
-    corpus = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("corpus_id"), n.normalize_ar(F.col("text")).alias("text"))
-    keep = lambda rows: rows.where(fragments.n_words(F.col("text")) >= fragments.LEAST_WORDS)
-    return fragments.fuzzy_top(keep(items), keep(corpus)).withColumn("score", F.round("score", 1))
+    items = fragments.comparable(table(spark, sf_dir, "eval_item"), "item_id", n.normalize_ar(F.col("text")), "query_id")
+    corpus = fragments.comparable(table(spark, sf_dir, "documents"), "doc_id", n.normalize_ar(F.col("text")), "corpus_id")
+    return fragments.fuzzy_top(items, corpus).withColumn("score", F.round("score", 1))
 
 
 _LEMMAS = (

@@ -133,6 +133,13 @@ def test_fuzzy_top_reads_the_corpus_once(spark):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
 
 
+def test_comparable_makes_each_text_once(spark):
+    rows = spark.createDataFrame([(1, "one two three four five"), (2, "one two three four"), (3, None)], "k int, t string")
+    got = fragments.comparable(rows, "k", F.upper("t"), "id").where("text <> ''")
+    assert [tuple(r) for r in got.collect()] == [(1, "ONE TWO THREE FOUR FIVE")]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("upper(") == 1
+
+
 def test_fuzzy_top_is_brute_force(spark):
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcd") for _ in range(4))
