@@ -126,6 +126,16 @@ def test_quoted_candidates(spark, tmp_path):
     assert got["t1/100", 0] == (100.0, 1) and got["t1/100", 2] == (round(fragments.partial_ratio(texts[0], texts[2]), 1), 2)
 
 
+def test_quoted_candidates_of_every_link(spark, tmp_path):
+    """Whatever its link_id, and each link by itself where several quote one text."""
+    texts = ["من صام رمضان ايمانا واحتسابا غفر له ما تقدم من ذنبه", "الدين النصيحة قلنا لمن قال لله ولكتابه ولرسوله"]
+    spark.createDataFrame(list(enumerate(texts)), "hadith_id long, arabic_matn string").selectExpr("*", "current_timestamp() AS loaded_at").write.parquet(f"{tmp_path}/hadith.parquet")
+    links = [(1, "t1", 0), (37, "t2", 1), (99, "t1", 0), (100, "t3", 0), (101, "t3", 7), (None, "t4", 1)]
+    spark.createDataFrame(links, "link_id long, tafsir_id string, hadith_id long").write.parquet(f"{tmp_path}/related_hadith.parquet")
+    got = [(r.tafsir_id, r.hadith_id, r.score, r["rank"]) for r in layer_queries.b16_candidates(spark, str(tmp_path)).collect()]
+    assert sorted(got) == [("t1/1", 0, 100.0, 1), ("t1/99", 0, 100.0, 1), ("t2/37", 1, 100.0, 1), ("t3/100", 0, 100.0, 1), ("t4", 1, 100.0, 1)]
+
+
 def test_inferred_edges(spark):
     from qirtas.operators import resolve
 
