@@ -136,6 +136,14 @@ def test_quoted_candidates_of_every_link(spark, tmp_path):
     assert sorted(got) == [("t1/1", 0, 100.0, 1), ("t1/99", 0, 100.0, 1), ("t2/37", 1, 100.0, 1), ("t3/100", 0, 100.0, 1), ("t4", 1, 100.0, 1)]
 
 
+def test_candidates_of_equal_keys(spark):
+    """Two rows under one tafsir_id have their own fragments."""
+    texts = ["من صام رمضان ايمانا واحتسابا غفر له ما تقدم من ذنبه", "الدين النصيحة قلنا لمن قال لله ولكتابه ولرسوله"]
+    tafsir = spark.createDataFrame([("t1", f"قال النبي {t}") for t in texts], "tafsir_id string, text_arabic string")
+    got = layers.candidate_links(tafsir, spark.createDataFrame(list(enumerate(texts)), "hadith_id long, matn string")).collect()
+    assert sorted((r.fragment, r.hadith_id, r.score, r["rank"]) for r in got) == sorted((t, i, 100.0, 1) for i, t in enumerate(texts))
+
+
 def test_inferred_edges(spark):
     from qirtas.operators import resolve
 

@@ -154,6 +154,23 @@ def test_fuzzy_top_is_brute_force(spark):
     assert {(r.query_id, r.corpus_id, round(r.score, 6), r["rank"]) for r in got.collect()} == wanted
 
 
+def test_fuzzy_join_is_brute_force(spark):
+    """Texts of all lengths in many blocks; equal texts on both sides, of which the smallest ids are the best."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcd") for _ in range(4))
+    texts = [" ".join(word() for _ in range(rng.randint(1, 9))) for _ in range(40)]
+    texts[0] = "uvwx yzuv wxyz uwyv xxuu"
+    corpus = [(i, texts[i % 40]) for i in range(60)] + [(60 + i, texts[0]) for i in range(5)] + [(80, texts[1] + " " + texts[2]), (81, None), (82, ""), (None, texts[3])]
+    asked = [t[:21].replace("a", "b", i % 2) for i, t in enumerate(texts)] + [texts[0], texts[0], texts[5] + "d", "ab", ""]
+    got = fragments.fuzzy_join(spark.createDataFrame([(t,) for t in asked], "text string"), spark.createDataFrame(corpus, "corpus_id long, text string"), block=9).collect()
+    wanted = set()
+    for text in set(asked) - {""}:
+        best = sorted((-brute_ratio(text, t), c) for c, t in corpus if t and c is not None)[:3]
+        wanted |= {(text, c, round(-s, 6), k + 1) for k, (s, c) in enumerate(best) if -s >= 80}
+    assert {(r.text, r.corpus_id, round(r.score, 6), r["rank"]) for r in got} == wanted and len(got) == len(wanted)
+    assert [(c, k) for t, c, _, k in sorted(wanted, key=lambda x: x[3]) if t == texts[0]] == [(0, 1), (40, 2), (60, 3)]
+
+
 def test_fuzzy_top_reads_every_layer(spark, tmp_path):
     text = "alpha beta gamma delta epsilon zeta eta"
     layers = ["hadith", "tafsir", "fatwa", None]
